@@ -1,11 +1,20 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from . import language_id, line_dedup
+from . import language_id, line_dedup, mixing, ngram_join, packing, quality, sharding, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op3_mix_sources": mixing.op3_mix_sources,
+    "op5_quality_rules": quality.op5_quality_rules,
+    "op6_vector_shards": sharding.op6_vector_shards,
+    "op7_ngram_jaccard": ngram_join.op7_ngram_jaccard,
+    "op8_best_fit_pack": packing.op8_best_fit_pack,
     "op9_language_id": language_id.op9_language_id,
 }
 ORACLE = {
     "op1_line_dedup": line_dedup.SQL,
+    "op2_url_filter": url_filter.oracle(),
+    "op3_mix_sources": mixing.SQL,
+    "op5_quality_rules": quality.SQL,
 }
