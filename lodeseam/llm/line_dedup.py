@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, written
-from .seen_filter import FRAGMENT, SeenBuilder, SeenTwice, seen_twice
+from .seen_filter import FRAGMENT, SeenBuilder, merged
 
 WHITE = b" \t\n\x0b\x0c\r"
 NO_ID = 2**63 - 1
@@ -95,7 +95,7 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, min_docs: int) ->
     """key binary, n (documents that have it), first (the smallest id): every line key in at least `min_docs` documents."""
     spark = df.sparkSession
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    twice = seen_twice(source.select("text").mapInArrow(_send_fragments("text"), FRAGMENT), probes=2)
+    twice = merged(source.select("text").mapInArrow(_send_fragments("text"), FRAGMENT), probes=2)
     suspects = source.mapInArrow(_send_suspects("text", "id", spark.sparkContext.broadcast(twice)), "key binary, n long, first long")
     return suspects.groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter(F.col("n") >= min_docs)
 

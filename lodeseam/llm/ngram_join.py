@@ -3,9 +3,9 @@
 Two sets x and y with Jaccard similarity at least t differ in at most T = (1-t)/(1+t) * (|x|+|y|)
 shingles. A hash deals the universe into m segments, so at most T segments of such a pair differ.
 
-* Size bands: band b holds sizes from lo(b) up to lo(b+1), each at least 1/t times the one before,
-  so a partner lies in the same or the next band. The larger set's band gives the segments; a set
-  is indexed for its own band and for the next one.
+* Size bands: band b holds sizes from 2**b up to 2**(b+1), so for t of 1/2 or more a partner lies in
+  the same or the next band. The larger set's band gives the segments; a set is indexed for its own
+  band, and for the next one if that holds sizes within its reach.
 * Large bands: m is 1.5 times T+1. Of x's segment subsets the T+1 first, under one order for all
   documents, must hold a common one. The order is by cost: subsets that the twin filters
   (`seen_filter`) show to be in one set only come first and cost nothing, since nobody can share
@@ -15,11 +15,12 @@ shingles. A hash deals the universe into m segments, so at most T segments of su
   one shingle at most, so the subsets or their neighbours meet.
 
 Equal sets form a class first, and only classes are joined. In a bucket of classes with one
-signature, not all pairs are compared: a few pivots (by the hash of the class) are compared with all
-members; links join classes into components; then all pairs of the bucket whose components still
-differ are compared, so no link between components is lost. Each comparison is first held against a
-parity bitmap (a lower bound of the difference), then made exactly on the whole shingle sets
-(64-bit hashes of the shingles).
+signature, not all pairs are compared at once: all members are compared with the smallest and the
+largest class, and links join classes into components; where a bucket's components still differ, all
+members are compared with `PIVOTS` more; then all pairs whose components still differ are compared,
+so no link between components is lost. Each comparison is first held against a parity bitmap (a
+lower bound of the difference), then made exactly on the whole shingle sets (64-bit hashes of the
+shingles; between classes, the first 64 bits of a 128-bit hash of the set are its name).
 
 Defined cases. Documents without words have an empty set, and are linked with nothing, not even with
 each other. Fewer words than a shingle make one shingle. Null ids never become a component's name
@@ -38,60 +39,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, written
-from .seen_filter import SeenBuilder, seen_twice
+from .seen_filter import SeenBuilder, merged
+from .tokens import BASE, WordHasher, mix, parts
 
-PIVOTS = 8
+PIVOTS = 6
 SLACK = 1.5
 SMALL = 48
 PARITY_WORDS = 32
-CACHE = 400_000
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
 
 
 class Shingler:
-    def __init__(self, words: int) -> None:
-        self.words, self.known = words, WordHashes()
+    """The sorted distinct shingle hashes of texts, A-Z lower-cased."""
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        """The sorted distinct shingle hashes of a whole text, A-Z lower-cased."""
-        tokens = (text or b"").lower().split()
-        if not tokens:
-            return np.empty(0, np.uint64)
-        h = np.fromiter(map(self.known.__getitem__, tokens), np.uint64, len(tokens))
-        n = min(self.words, len(h))
-        total = np.full(len(h) - n + 1, n, np.uint64)
-        for i in range(n):
-            total = mix(total + h[i : len(h) - n + 1 + i])
-        return np.unique(total)
+    def __init__(self, words: int) -> None:
+        self.words, self.hasher = words, WordHasher()
+        self.factors = mix(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
+
+    def _join(self, columns: list[np.ndarray]) -> np.ndarray:
+        total = np.full(len(columns[0]), len(columns), np.uint64)
+        for column, factor in zip(columns, self.factors, strict=False):
+            total += column * factor
+        return mix(total)
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        h, counts = self.hasher(texts)
+        n = self.words
+        every = self._join([h[i : len(h) - n + 1 + i] for i in range(n)]) if len(h) >= n else np.empty(0, np.uint64)
+        out, at = [], 0
+        for c in counts:
+            if c >= n:
+                s = np.sort(every[at : at + c - n + 1])
+                new = np.empty(len(s), bool)
+                new[0] = True
+                np.not_equal(s[1:], s[:-1], out=new[1:])
+                out.append(s[new])
+            elif c:
+                out.append(self._join([h[at + i : at + i + 1] for i in range(c)]))
+            else:
+                out.append(np.empty(0, np.uint64))
+            at += c
+        return out
 
 
 class Bands:
     """Sizes, segments and signatures for the threshold num/den."""
 
     def __init__(self, num: int, den: int) -> None:
-        self.num, self.den, self.lows = num, den, [1]
-
-    def band(self, size: int) -> int:
-        while self.lows[-1] <= size:
-            low = self.lows[-1]
-            self.lows.append(max(low + 1, -(-low * self.den // self.num)))
-        return int(np.searchsorted(self.lows, size, "right")) - 1
+        self.num, self.den = num, den
+        if den > 2 * num:
+            raise ValueError("the threshold has to be 1/2 at least")
 
     def differ(self, a: int, b: int) -> int:
         """The most shingles in which linked sets of these sizes differ."""
@@ -99,30 +95,46 @@ class Bands:
 
     def schemes(self, size: int) -> list[tuple[int, int, int]]:
         """(band, segments, T) for each band in which a set of this size is indexed; segments < 0: with neighbourhoods."""
-        out, own = [], self.band(size)
+        out, own = [], size.bit_length() - 1
         most = size * self.den // self.num
         for b in (own, own + 1):
-            self.band(self.lows[b])  # so that the next low is known
-            top = self.lows[b + 1] - 1
+            top = (2 << b) - 1
             t = self.differ(size, min(top, most))
-            if t and most >= self.lows[b]:
+            if t and most >= 1 << b:
                 widest = self.differ(top, top) + 1
-                out.append((b, -(-(-widest // 2)) if top < SMALL else int(np.ceil(SLACK * widest)), t))
+                out.append((b, -((widest + 1) // 2) if top < SMALL else int(np.ceil(SLACK * widest)), t))
         return out
 
-    def signatures(self, s: np.ndarray, band: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of the subsets (with neighbours in small bands), and which are of empty segments."""
-        count = abs(segments)
-        place = ((mix(s ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
-        value = mix(s + np.uint64(0x632BE59BD9B4E019))
-        total = np.zeros(count, np.uint64)
-        np.add.at(total, place, value)
-        salt = mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 32))
-        if segments > 0:
-            return mix(total ^ salt), np.bincount(place, minlength=count) == 0
-        near = mix((total[place] - value) ^ salt[place])
-        every = np.unique(np.concatenate((mix(total ^ salt), near)))
-        return every, np.zeros(len(every), bool)
+    def signatures(self, sets: list[np.ndarray]) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+        """(place in `sets`, segments, T, signatures, which are of empty segments) for each set and band, made for all sets at once."""
+        use = [(i, *x) for i, s in enumerate(sets) if len(s) for x in self.schemes(len(s))]
+        if not use:
+            return
+        one = np.concatenate(sets)
+        starts = np.cumsum([0] + [len(s) for s in sets])
+        key, value = mix(one ^ np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32), mix(one + np.uint64(0x632BE59BD9B4E019))
+        sizes = np.array([len(sets[u[0]]) for u in use])
+        counts = np.array([abs(u[2]) for u in use])
+        first = np.cumsum(counts) - counts
+        row = np.repeat(np.arange(len(use)), sizes)
+        item = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts[[u[0] for u in use]], sizes)
+        place = ((key[item] * counts[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64) + first[row]
+        total = np.zeros(int(counts.sum()), np.uint64)
+        np.add.at(total, place, value[item])
+        number = np.arange(len(total)) - np.repeat(first, counts)
+        salt = mix((number + np.repeat(np.array([u[1] for u in use], np.int64) << 32, counts)).astype(np.uint64))
+        sigs, empty = mix(total ^ salt), np.bincount(place, minlength=len(total)) == 0
+        at = 0
+        for k, (i, _, segments, t) in enumerate(use):
+            lo, hi = first[k], first[k] + counts[k]
+            if segments > 0:
+                yield i, segments, t, sigs[lo:hi], empty[lo:hi]
+            else:
+                own = slice(at, at + sizes[k])
+                near = mix((total[place[own]] - value[item[own]]) ^ salt[place[own]])
+                every = np.unique(np.concatenate((sigs[lo:hi], near)))
+                yield i, segments, t, every, np.zeros(len(every), bool)
+            at += sizes[k]
 
 
 def _parity(s: np.ndarray) -> np.ndarray:
@@ -131,12 +143,22 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.large_binary()).to_pylist()
-
-
+#: The name of a class in the join: the first eight bytes of its hash, big-endian.
+KEY = "shiftleft(cast(conv(hex(substring(cls, 1, 4)), 16, 10) AS bigint), 32) | cast(conv(hex(substring(cls, 5, 4)), 16, 10) AS bigint)"
 FIRST = "doc_id long, n long, cls binary, range int, entries long, blob binary"
-SECOND = "cls binary, n long, sigs array<long>, parity array<long>, shingles binary"
+SECOND = "cls long, n long, sigs array<long>, parity array<long>, shingles binary"
+REMEMBER = 200_000
+
+
+def _new_sets(sets: list[np.ndarray], digests: list[bytes], met: set) -> list[np.ndarray]:
+    """The sets with those that this task has met already made empty."""
+    out = []
+    if len(met) > REMEMBER:
+        met.clear()
+    for s, d in zip(sets, digests, strict=True):
+        out.append(s[:0] if d in met else s)
+        met.add(d)
+    return out
 
 
 def _classes(words: int, num: int, den: int):
@@ -151,30 +173,18 @@ def _classes(words: int, num: int, den: int):
             n = max(len(c) for c in cols if c is not None)
             return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-        def fragments() -> pa.RecordBatch:
-            got = builder.take()
-            return rows(None, None, None, *(got.column(i) for i in range(3)))
-
         for batch in batches:
-            sizes, classes = [], []
-            for text in _texts(batch):
-                s = shingles(text)
-                cls = xxhash.xxh3_128_digest(s.tobytes())
-                sizes.append(len(s))
-                classes.append(cls)
-                if cls in met or not len(s):
-                    continue
-                if len(met) > 200_000:
-                    met.clear()
-                met.add(cls)
-                for band, segments, _ in bands.schemes(len(s)):
-                    sigs, empty = bands.signatures(s, band, segments)
+            for at, texts in parts(batch):
+                sets = shingles(texts)
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                yield rows(batch.column("doc_id").slice(at, len(sets)).to_pylist(), [len(s) for s in sets], digests, None, None, None)
+                for _, _, _, sigs, empty in bands.signatures(_new_sets(sets, digests, met)):
                     if builder.add(sigs[~empty]):
-                        yield fragments()
-            if sizes:
-                yield rows(batch.column("doc_id").to_pylist(), sizes, classes, None, None, None)
+                        got = builder.take()
+                        yield rows(None, None, None, *(got.column(i) for i in range(3)))
         if builder.n:
-            yield fragments()
+            got = builder.take()
+            yield rows(None, None, None, *(got.column(i) for i in range(3)))
 
     return run
 
@@ -185,40 +195,30 @@ def _suspects(words: int, num: int, den: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands, twice, met = Shingler(words), Bands(num, den), shared.value, set()
         for batch in batches:
-            held = []
-            for text in _texts(batch):
-                s = shingles(text)
-                cls = xxhash.xxh3_128_digest(s.tobytes())
-                if cls in met or not len(s):
-                    continue
-                if len(met) > 200_000:
-                    met.clear()
-                met.add(cls)
-                send = []
-                for band, segments, t in bands.schemes(len(s)):
-                    sigs, empty = bands.signatures(s, band, segments)
+            for _, texts in parts(batch):
+                sets = shingles(texts)
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                send: dict[int, list[np.ndarray]] = {}
+                for i, segments, t, sigs, empty in bands.signatures(_new_sets(sets, digests, met)):
                     found = twice.found(sigs) | empty
                     if segments < 0:
-                        send.append(sigs[found])
+                        chosen = sigs[found]
+                    elif (need := t + 1 - int((~found).sum())) > 0:
+                        others = sigs[found]
+                        chosen = others[np.lexsort((others, empty[found]))][:need]
+                    else:
                         continue
-                    need = t + 1 - int((~found).sum())
-                    if need > 0:
-                        others, last = sigs[found], empty[found]
-                        send.append(others[np.lexsort((others, last))][:need])
-                if send and (sigs := np.concatenate(send)).size:
-                    held.append((cls, len(s), sigs.view(np.int64), _parity(s), s.tobytes()))
-                if len(held) >= 500:
-                    yield _held(held)
-                    held = []
-            if held:
-                yield _held(held)
+                    if len(chosen):
+                        send.setdefault(i, []).append(chosen)
+                if send:
+                    yield _held([(int.from_bytes(digests[i][:8], "big", signed=True), len(sets[i]), np.concatenate(x).view(np.int64), _parity(sets[i]), sets[i].tobytes()) for i, x in send.items()])
 
     return run
 
 
 def _held(rows: list[tuple]) -> pa.RecordBatch:
     long = pa.list_(pa.int64())
-    kinds = [pa.binary(), pa.int64(), long, long, pa.binary()]
+    kinds = [pa.int64(), pa.int64(), long, long, pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["cls", "n", "sigs", "parity", "shingles"])
 
 
@@ -237,16 +237,18 @@ def _linked(num: int, den: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, suspects: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked. Bitmaps go first; whole sets only to pairs that pass."""
-    small = sets.select("cls", "n", "parity")
+    small = suspects.select("cls", "n", "parity").dropDuplicates(["cls"])
     x = small.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     y = small.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     differ = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
     near = pairs.join(x, "a").join(y, "b").filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (differ * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)))
-    near = near.select("a", "b")
+    near = written(near.select("a", "b"))
+    asked = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = suspects.select("cls", "shingles").join(asked, "cls", "left_semi").dropDuplicates(["cls"])
     whole = near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sx")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sy")), "b")
-    return written(whole.select("a", "b", "sx", "sy").mapInArrow(_linked(num, den), "a binary, b binary"))
+    return written(whole.select("a", "b", "sx", "sy").mapInArrow(_linked(num, den), "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -263,34 +265,52 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _pairs(members: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Distinct ordered pairs (a, b) out of (x, y), without those already tried."""
+    pairs = members.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _open_buckets(suspects: DataFrame, comps: DataFrame) -> DataFrame:
+    """sig, cls, comp: the entries of buckets that hold more than one component."""
+    named = suspects.select("cls", "sigs").join(comps, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"), F.explode("sigs").alias("sig"))
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
+    return written(named.join(mixed, "sig").select("sig", "cls", "comp").distinct())
+
+
 def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
     sc = df.sparkSession.sparkContext
     source = df.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     first = written(source.mapInArrow(_classes(words, num, den), FIRST))
     docs = first.filter("cls IS NOT NULL").select("doc_id", "n", "cls")
-    twice = seen_twice(first.filter("blob IS NOT NULL").select("range", "entries", "blob"), cells_per_entry=8)
+    twice = merged(first.filter("blob IS NOT NULL").select("range", "entries", "blob"), cells_per_entry=8)
     suspects = written(source.select("text").mapInArrow(_suspects(words, num, den, sc.broadcast(twice)), SECOND))
-    sets = written(suspects.select("cls", "n", "parity", "shingles").dropDuplicates(["cls"]))
-    entries = suspects.select("cls", F.explode("sigs").alias("sig")).distinct()
-    pivots = F.array_distinct(F.array(*[F.min_by("cls", F.xxhash64("cls", F.lit(i))) for i in range(PIVOTS)]))
-    buckets = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), pivots.alias("pivots")).filter("size > 1")
-    entries = written(entries.join(buckets.select("sig", "pivots"), "sig"))
-    pairs = entries.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots")).select("cls", F.explode("pivots").alias("pivot")).filter("cls <> pivot")
-    ordered = pairs.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
-    tried = written(ordered)
-    links = _verified(tried, sets, num, den)
+    # every member of a bucket against its smallest and its largest class
+    entries = suspects.select("cls", F.explode("sigs").alias("sig"))
+    ends = entries.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi")
+    tried = written(_pairs(entries.join(ends, "sig").select(F.col("cls").alias("x"), F.explode(F.array("lo", "hi")).alias("y")), None))
+    links = _verified(tried, suspects, num, den)
     comps = components(links)
-    named = entries.select("sig", "cls").join(comps, "cls", "left").select("sig", "cls", F.coalesce("comp", "cls").alias("comp"))
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("sig")
-    open_ = written(named.join(mixed, "sig"))
-    other = open_.select("sig", F.col("cls").alias("b"), F.col("comp").alias("comp2"))
-    rest = open_.withColumnRenamed("cls", "a").join(other, "sig").filter("a < b AND comp <> comp2").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(rest, sets, num, den)
+    # where components still differ: against pivots, of which all buckets with the same members choose the same
+    open_ = _open_buckets(suspects, comps)
+    seeds = [int.from_bytes(xxhash.xxh3_64_digest(bytes([i])), "big", signed=True) for i in range(PIVOTS)]
+    pivots = open_.groupBy("sig").agg(*(F.min(F.col("cls").bitwiseXOR(F.lit(k))).alias(f"p{i}") for i, k in enumerate(seeds)))
+    pivots = pivots.select("sig", F.array_distinct(F.array(*(F.col(f"p{i}").bitwiseXOR(F.lit(k)) for i, k in enumerate(seeds)))).alias("pivots"))
+    asked = open_.join(pivots, "sig").groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+    more = written(_pairs(asked.select(F.col("cls").alias("x"), F.explode("pivots").alias("y")), tried))
     if more.limit(1).count():
-        comps = components(links.union(more))
-    lows = docs.groupBy("cls").agg(F.min("doc_id").alias("low"))
-    known = lows.join(comps, "cls", "left").select("cls", "low", F.coalesce("comp", "cls").alias("comp"))
+        tried = tried.union(more)
+        links = links.union(_verified(more, suspects, num, den))
+        comps = components(links)
+        open_ = _open_buckets(suspects, comps)
+    # all pairs of what is left
+    other = open_.select("sig", F.col("cls").alias("y"), F.col("comp").alias("comp2"))
+    rest = written(_pairs(open_.withColumnRenamed("cls", "x").join(other, "sig").filter("x < y AND comp <> comp2").select("x", "y"), tried))
+    if rest.limit(1).count():
+        comps = components(links.union(_verified(rest, suspects, num, den)))
+    lows = docs.groupBy("cls").agg(F.min("doc_id").alias("low")).withColumn("key", F.expr(KEY))
+    known = lows.join(comps.withColumnRenamed("cls", "key"), "key", "left").select("cls", "low", F.coalesce("comp", "key").alias("comp"))
     heads = known.groupBy("comp").agg(F.min("low").alias("component_id"))
     names = written(known.join(heads, "comp").select("cls", "component_id"))
     out = docs.join(names, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

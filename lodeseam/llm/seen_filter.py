@@ -66,8 +66,8 @@ class SeenBuilder:
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.binary())], names=["range", "entries", "blob"])
 
 
-class SeenTwice:
-    """The second filter: bits for cells that were met at least twice."""
+class CellFilter:
+    """Bits for the cells that were met often enough."""
 
     def __init__(self, bits: np.ndarray, width: int, probes: int) -> None:
         self.bits, self.width, self.probes = bits, width, probes
@@ -83,7 +83,7 @@ class SeenTwice:
         return out
 
 
-def _merge(width: int):
+def _merge(width: int, least: int):
     size = 1 << (width - 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,21 +102,21 @@ def _merge(width: int):
                 seen[at[start]] = np.minimum(2, seen[at[start]] + np.minimum(met, 2))
         if counts:
             keys = sorted(counts)
-            packed = [np.packbits(counts[r] >= 2, bitorder="little").tobytes() for r in keys]
+            packed = [np.packbits(counts[r] >= least, bitorder="little").tobytes() for r in keys]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(packed, pa.binary())], names=["range", "bits"])
 
     return run
 
 
-def seen_twice(fragments: DataFrame, probes: int = 1, cells_per_entry: int = 6) -> SeenTwice:
-    """Merges the fragments of all tasks. The driver gets 64 MB at most."""
+def merged(fragments: DataFrame, probes: int = 1, cells_per_entry: int = 6, least: int = 2) -> CellFilter:
+    """Merges the fragments of all tasks into the filter of cells met `least` (1 or 2) times. The driver gets 64 MB at most."""
     fragments = written(fragments)
     entries = fragments.agg(F.sum("entries")).first()[0] or 0
     width = min(MAX_BITS, max(MIN_BITS, (entries * cells_per_entry).bit_length()))
     tasks = fragments.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    merged = fragments.repartition(min(RANGES, int(tasks)), "range").mapInArrow(_merge(width), "range int, bits binary")
+    ranges = fragments.repartition(min(RANGES, int(tasks)), "range").mapInArrow(_merge(width, least), "range int, bits binary")
     bits = np.zeros(1 << (width - 3), np.uint8)
     step = 1 << (width - 11)
-    for row in merged.toLocalIterator():
+    for row in ranges.toLocalIterator():
         bits[row["range"] * step : (row["range"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
-    return SeenTwice(bits, width, probes)
+    return CellFilter(bits, width, probes)
