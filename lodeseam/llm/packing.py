@@ -23,6 +23,7 @@ import types
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,30 +34,75 @@ from .common import documents, gapless_rank, written
 
 SIZE = 2048
 END = 0
-CACHE = 300_000
+CACHE = 900_000
+MARKS = b".,!?;:%*#$&|"
+#: Texts with this mark may name special tokens, whose letter case counts.
+SPECIAL = b"<|"
 STEPS = 400
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 PLACE = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
 class WordIds(dict):
-    """The token ids of words, as bytes, remembered up to a bound. Exact where no token crosses white space."""
+    """The token ids of words, as bytes, remembered up to a bound. Exact where no token crosses white space.
+
+    A word that is letters and then punctuation has the ids of the one and of the other, so only the
+    letters are encoded anew; words of letters alone go to the tokenizer many at once, and are told
+    apart by the tokens that end words.
+    """
 
     def __init__(self, file: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: set[bytes]) -> None:
+        if len(self) + len(new) > CACHE:  # the words that were met first stay: most of them are frequent
+            kept = list(islice(self.items(), CACHE // 3))
+            self.clear()
+            self.update(kept)
+        cut = {w: len(w.rstrip(MARKS)) for w in new}
+        plain, rest = set(), set()
+        for w, n in cut.items():
+            core = w[:n]
+            if core.isalpha() or core.decode().isalpha():
+                plain.add(core)
+                if n < len(w):
+                    rest.add(w[n:])
+            else:
+                rest.add(w)
+                cut[w] = len(w)
+        plain, rest = [w for w in plain if w not in self], [w for w in rest if w not in self]
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for group, ids in zip(groups, self._encode([b" ".join(g).decode() for g in groups]), strict=True):
+            last = np.flatnonzero(self.ends[ids]) + 1
+            raw = ids.tobytes()
+            if len(last) != len(group):  # not told apart: one by one
+                rest += group
+                continue
+            at = 0
+            for w, end in zip(group, (last * 4).tolist(), strict=True):
+                self[w] = raw[at:end]
+                at = end
+        for w, ids in zip(rest, self._encode([w.decode() for w in rest]), strict=True):
+            self[w] = ids.tobytes()
+        for w, n in cut.items():
+            if n < len(w):
+                self[w] = self[w[:n]] + self[w[n:]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts, each a little-endian unsigned 32-bit number."""
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self})
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = list({w for words in split for w in words})
-        for word, got in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self[word] = np.array(got.ids, "<u4").tobytes()
+        raw = [t.encode() for t in texts]
+        split = [(r if SPECIAL in r else r.lower()).split() for r in raw]
+        new = {w for words in split for w in words if w not in self}
+        if new:
+            self._learn(new if len(self) + len(new) <= CACHE else {w for words in split for w in words})
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
