@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, written
-from .seen_filter import FRAGMENT, SeenBuilder, merged
+from .seen_filter import FRAGMENT, CellFilter, SeenBuilder, merged
 
 WHITE = b" \t\n\x0b\x0c\r"
 NO_ID = 2**63 - 1
@@ -72,7 +72,7 @@ def _send_suspects(text_col: str, id_col: str, twice, flush_at: int = 50_000):
             held.clear()
             return batch
 
-        seen = twice.value
+        seen = CellFilter(*twice.value)
         for batch in batches:
             ids = batch.column(id_col).to_pylist()
             for doc_id, text in zip(ids, _texts(batch, text_col), strict=True):
@@ -96,7 +96,7 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, min_docs: int) ->
     spark = df.sparkSession
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     twice = merged(source.select("text").mapInArrow(_send_fragments("text"), FRAGMENT), probes=2)
-    suspects = source.mapInArrow(_send_suspects("text", "id", spark.sparkContext.broadcast(twice)), "key binary, n long, first long")
+    suspects = source.mapInArrow(_send_suspects("text", "id", spark.sparkContext.broadcast(twice.parts())), "key binary, n long, first long")
     return suspects.groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter(F.col("n") >= min_docs)
 
 

@@ -81,7 +81,7 @@ def _send_counts(order: int, shared):
     """Rows (kind, h, n): words with their plain hash (kind 0), suspected n-grams (kind n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, twice = WordHasher(), shared.value
+        known, twice = WordHasher(), CellFilter(*shared.value)
         held: list[list[np.ndarray]] = [[] for _ in range(order)]
 
         def take() -> Iterator[pa.RecordBatch]:
@@ -139,6 +139,13 @@ class Model:
     def __init__(self, cells: CellFilter, n: int, v: int, order: int) -> None:
         self.cells, self.n, self.v, self.order = cells, n, v, order
 
+    def parts(self) -> tuple:
+        return self.cells.parts(), self.n, self.v, self.order
+
+    @classmethod
+    def of(cls, parts: tuple) -> Model:
+        return cls(CellFilter(*parts[0]), *parts[1:])
+
     def counts(self, h: np.ndarray, first: int) -> np.ndarray:
         """Counts by probing levels from `first` on until a miss; 0 where the first one misses."""
         out = np.zeros(len(h))
@@ -171,7 +178,7 @@ def _scores(shared, head):
     """Scores each text. Tokens outside the head go on as `tail` when there are words beyond it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = WordHasher(), shared.value
+        known, model = WordHasher(), Model.of(shared.value)
         hashes, counts, complete = head.value
         logs = np.log10(counts + 1.0)
         low, task, row = np.log10(model.n + model.v + 1.0), TaskContext.get().partitionId() << 36, 0
@@ -211,11 +218,11 @@ def train(rows: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame]:
     """The model, and the exact word counts (h, n), from the texts of `rows`."""
     sc, rows = rows.sparkSession.sparkContext, rows.select(F.col("text").cast("string"))
     twice = merged(rows.mapInArrow(_send_fragments(order), FRAGMENT))
-    sent = rows.mapInArrow(_send_counts(order, sc.broadcast(twice)), "kind int, h long, n long")
+    sent = rows.mapInArrow(_send_counts(order, sc.broadcast(twice.parts())), "kind int, h long, n long")
     counts = written(sent.groupBy("kind", "h").agg(F.sum("n").alias("n")).filter(f"kind = 0 OR n >= {MIN_COUNT}"))
     words = counts.filter("kind = 0").select("h", "n")
     n, v = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    cells = merged(counts.mapInArrow(_send_levels, FRAGMENT), probes=2, least=1)
+    cells = merged(counts.mapInArrow(_send_levels, FRAGMENT), probes=2, bounds=(1,))
     return Model(cells, n or 0, v or 0, order), words
 
 
@@ -243,7 +250,7 @@ def score(df: DataFrame, model: Model, words: DataFrame, max_words: int = MAX_WO
     sc = df.sparkSession.sparkContext
     head = _head(words, model.v, max_words)
     schema = "doc_id long, held_out boolean, uid long, n_tokens long, n_known long, base_score double, score double, tail array<long>"
-    out = df.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string")).mapInArrow(_scores(sc.broadcast(model), sc.broadcast(head)), schema)
+    out = df.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string")).mapInArrow(_scores(sc.broadcast(model.parts()), sc.broadcast(head)), schema)
     if not head[2]:
         out = written(out)
         tail = out.select("uid", F.explode("tail").alias("h")).groupBy("uid", "h").agg(F.count(F.lit(1)).alias("times"))

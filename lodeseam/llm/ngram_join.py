@@ -9,18 +9,19 @@ shingles. A hash deals the universe into m segments, so at most T segments of su
 * Large bands: m is 1.5 times T+1. Of x's segment subsets the T+1 first, under one order for all
   documents, must hold a common one. The order is by cost: subsets that the twin filters
   (`seen_filter`) show to be in one set only come first and cost nothing, since nobody can share
-  them; then those that others hold; empty segments last. A set with T+1 subsets of its own has no
+  them; then those that few others hold, those that many hold, and empty segments last. A set with T+1 subsets of its own has no
   partner, and sends nothing.
 * Small bands: (T+1)/2 segments, each with its one-deletion neighbourhood: some segment differs in
   one shingle at most, so the subsets or their neighbours meet.
 
 Equal sets form a class first, and only classes are joined. In a bucket of classes with one
-signature, not all pairs are compared at once: all members are compared with the smallest and the
-largest class, and links join classes into components; where a bucket's components still differ, all
-members are compared with `PIVOTS` more; then all pairs whose components still differ are compared,
+signature, not all pairs are compared at once: all members are compared with the hub, the class with
+the largest share of signatures that many others have (near copies of one text have it in common,
+even where they differ too much from each other), and links join classes into components; where a
+bucket's components still differ, all members are compared with `PIVOTS` more; then all whose components still differ are compared in blocks,
 so no link between components is lost. Each comparison is first held against a parity bitmap (a
 lower bound of the difference), then made exactly on the whole shingle sets (64-bit hashes of the
-shingles; between classes, the first 64 bits of a 128-bit hash of the set are its name).
+shingles; between classes, 58 bits of a 128-bit hash of the set are its name).
 
 Defined cases. Documents without words have an empty set, and are linked with nothing, not even with
 each other. Fewer words than a shingle make one shingle. Null ids never become a component's name
@@ -39,13 +40,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, written
-from .seen_filter import SeenBuilder, merged
+from .seen_filter import CellFilter, SeenBuilder, merged
 from .tokens import BASE, WordHasher, mix, parts
 
 PIVOTS = 6
 SLACK = 1.5
 SMALL = 48
+#: Signatures in so many sets or more are the costly ones.
+OFTEN = 6
 PARITY_WORDS = 32
+BLOCK = 256
 
 
 class Shingler:
@@ -143,8 +147,17 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-#: The name of a class in the join: the first eight bytes of its hash, big-endian.
-KEY = "shiftleft(cast(conv(hex(substring(cls, 1, 4)), 16, 10) AS bigint), 32) | cast(conv(hex(substring(cls, 5, 4)), 16, 10) AS bigint)"
+#: The name of a class in the join: 58 bits of its hash, below five bits for the share of its signatures that few others have.
+NAME_BITS = 58
+KEY = "shiftrightunsigned(shiftleft(cast(conv(hex(substring(cls, 1, 4)), 16, 10) AS bigint), 32) | cast(conv(hex(substring(cls, 5, 4)), 16, 10) AS bigint), 6)"
+
+
+def _name(digest: bytes, total: int, often: int) -> int:
+    """Small for the sets whose parts many others have, so that the smallest name of a bucket is its hub."""
+    rare = min(31, 32 * (total - often) // max(1, total))
+    return rare << NAME_BITS | int.from_bytes(digest[:8], "big") >> 64 - NAME_BITS
+
+
 FIRST = "doc_id long, n long, cls binary, range int, entries long, blob binary"
 SECOND = "cls long, n long, sigs array<long>, parity array<long>, shingles binary"
 REMEMBER = 200_000
@@ -193,25 +206,27 @@ def _suspects(words: int, num: int, den: int, shared):
     """Classes that may have a partner: the signatures that have to meet, the parity bitmap and the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bands, twice, met = Shingler(words), Bands(num, den), shared.value, set()
+        shingles, bands, twice, met = Shingler(words), Bands(num, den), CellFilter(*shared.value), set()
         for batch in batches:
             for _, texts in parts(batch):
                 sets = shingles(texts)
                 digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 send: dict[int, list[np.ndarray]] = {}
+                own = np.zeros((len(sets), 2), np.int64)
                 for i, segments, t, sigs, empty in bands.signatures(_new_sets(sets, digests, met)):
                     found = twice.found(sigs) | empty
+                    own[i] += int((~empty).sum()), int(twice.found(sigs[~empty], 1).sum())
                     if segments < 0:
                         chosen = sigs[found]
                     elif (need := t + 1 - int((~found).sum())) > 0:
                         others = sigs[found]
-                        chosen = others[np.lexsort((others, empty[found]))][:need]
+                        chosen = others[np.lexsort((others, twice.found(others, 1) + 2 * empty[found]))][:need]
                     else:
                         continue
                     if len(chosen):
                         send.setdefault(i, []).append(chosen)
                 if send:
-                    yield _held([(int.from_bytes(digests[i][:8], "big", signed=True), len(sets[i]), np.concatenate(x).view(np.int64), _parity(sets[i]), sets[i].tobytes()) for i, x in send.items()])
+                    yield _held([(_name(digests[i], *own[i].tolist()), len(sets[i]), np.concatenate(x).view(np.int64), _parity(sets[i]), sets[i].tobytes()) for i, x in send.items()])
 
     return run
 
@@ -278,18 +293,61 @@ def _open_buckets(suspects: DataFrame, comps: DataFrame) -> DataFrame:
     return written(named.join(mixed, "sig").select("sig", "cls", "comp").distinct())
 
 
+def _compared(num: int, den: int):
+    """For each block of members, or pair of blocks, the pairs (x, y) of different components whose sizes and bitmaps allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column("members")
+            ends, flat = np.asarray(members.offsets) - members.offsets[0].as_py(), members.flatten()
+            name, comp, n, side = (np.asarray(flat.field(c)) for c in ("cls", "comp", "n", "side"))
+            maps = np.asarray(flat.field("parity").flatten()).view(np.uint64).reshape(-1, PARITY_WORDS)
+            xs, ys = [], []
+            for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+                for i in range(lo, hi - 1):
+                    at = np.arange(i + 1, hi)
+                    small, large = np.minimum(n[i], n[at]), np.maximum(n[i], n[at])
+                    at = at[(comp[at] != comp[i]) & (small * den >= large * num) & ((side[at] < 0) | (side[at] != side[i]))]
+                    if len(at):
+                        differ = np.bitwise_count(maps[at] ^ maps[i]).sum(axis=1)
+                        at = at[differ * (den + num) <= (n[i] + n[at]) * (den - num)]
+                        xs += [name[i]] * len(at)
+                        ys.append(name[at])
+            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(np.concatenate(ys) if ys else np.empty(0, np.int64), pa.int64())], names=["x", "y"])
+
+    return run
+
+
+def _near_in_blocks(open_: DataFrame, suspects: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of members of one bucket that may be linked, out of all whose components differ.
+
+    Members meet in blocks of about `BLOCK`, and blocks in pairs, so no task holds a large bucket; only
+    pairs that pass are rows. Buckets with the same members are compared once.
+    """
+    sizes = open_.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    small = suspects.select("cls", "n", "parity").dropDuplicates(["cls"])
+    x = open_.join(sizes, "sig").withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks").cast("long")).cast("int"))
+    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    x = x.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other"), "side": F.when(F.col("mine") == F.col("other"), -1).otherwise((F.col("mine") < F.col("other")).cast("int"))})
+    sets = x.groupBy("sig", "i", "j").agg(F.sort_array(F.collect_list(F.struct("cls", "comp", "side"))).alias("members")).filter("size(members) > 1")
+    sets = sets.select("members").dropDuplicates(["members"]).withColumn("block", F.monotonically_increasing_id())
+    each = written(sets).select("block", F.explode("members").alias("m")).select("block", "m.*").join(small, "cls")
+    blocks = each.groupBy("block").agg(F.collect_list(F.struct("cls", "comp", "n", "side", "parity")).alias("members"))
+    return blocks.select("members").mapInArrow(_compared(num, den), "x long, y long")
+
+
 def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
     sc = df.sparkSession.sparkContext
     source = df.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     first = written(source.mapInArrow(_classes(words, num, den), FIRST))
     docs = first.filter("cls IS NOT NULL").select("doc_id", "n", "cls")
-    twice = merged(first.filter("blob IS NOT NULL").select("range", "entries", "blob"), cells_per_entry=8)
-    suspects = written(source.select("text").mapInArrow(_suspects(words, num, den, sc.broadcast(twice)), SECOND))
-    # every member of a bucket against its smallest and its largest class
+    twice = merged(first.filter("blob IS NOT NULL").select("range", "entries", "blob"), cells_per_entry=8, bounds=(2, OFTEN))
+    suspects = written(source.select("text").mapInArrow(_suspects(words, num, den, sc.broadcast(twice.parts())), SECOND))
+    # every member of a bucket against its hub
     entries = suspects.select("cls", F.explode("sigs").alias("sig"))
-    ends = entries.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi")
-    tried = written(_pairs(entries.join(ends, "sig").select(F.col("cls").alias("x"), F.explode(F.array("lo", "hi")).alias("y")), None))
+    hubs = entries.groupBy("sig").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).filter("hub <> last").select("sig", "hub")
+    tried = written(_pairs(entries.join(hubs, "sig").select(F.col("cls").alias("x"), F.col("hub").alias("y")), None))
     links = _verified(tried, suspects, num, den)
     comps = components(links)
     # where components still differ: against pivots, of which all buckets with the same members choose the same
@@ -304,13 +362,11 @@ def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100
         links = links.union(_verified(more, suspects, num, den))
         comps = components(links)
         open_ = _open_buckets(suspects, comps)
-    # all pairs of what is left
-    other = open_.select("sig", F.col("cls").alias("y"), F.col("comp").alias("comp2"))
-    rest = written(_pairs(open_.withColumnRenamed("cls", "x").join(other, "sig").filter("x < y AND comp <> comp2").select("x", "y"), tried))
+    rest = written(_pairs(_near_in_blocks(open_, suspects, num, den), tried))
     if rest.limit(1).count():
         comps = components(links.union(_verified(rest, suspects, num, den)))
     lows = docs.groupBy("cls").agg(F.min("doc_id").alias("low")).withColumn("key", F.expr(KEY))
-    known = lows.join(comps.withColumnRenamed("cls", "key"), "key", "left").select("cls", "low", F.coalesce("comp", "key").alias("comp"))
+    known = lows.join(comps.select(F.col("cls").bitwiseAND(F.lit((1 << NAME_BITS) - 1)).alias("key"), "comp"), "key", "left").select("cls", "low", F.coalesce("comp", "key").alias("comp"))
     heads = known.groupBy("comp").agg(F.min("low").alias("component_id"))
     names = written(known.join(heads, "comp").select("cls", "component_id"))
     out = docs.join(names, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -239,20 +239,23 @@ class Plan:
             sequence += n
         rows.sort()
         self.sequences = sequence
-        length, first, self.sequence, self.offset = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.empty(0, np.int64),) * 4
-        self.key, self.first = (length << 48) + first, first
+        length, first, sequences, offsets = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.empty(0, np.int64),) * 4
+        self.places = (length << 48) + first, first, sequences, offsets
 
-    def find(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.key, (length << 48) + rank, "right") - 1
-        return self.sequence[at] + rank - self.first[at], self.offset[at]
+
+def find(places: tuple[np.ndarray, ...], length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence and the offset of the pieces with these lengths and ranks."""
+    key, first, sequence, offset = places
+    at = np.searchsorted(key, (length << 48) + rank, "right") - 1
+    return sequence[at] + rank - first[at], offset[at]
 
 
 def _place(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = shared.value
+        places = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False).astype(np.int64)
-            sequence, offset = plan.find(length, batch.column("rank").to_numpy(zero_copy_only=False))
+            sequence, offset = find(places, length, batch.column("rank").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(length), batch.column(4), pa.array(sequence), pa.array(offset)], names=[x.split()[0] for x in PLACE.split(", ")])
 
     return run
@@ -265,7 +268,7 @@ def pack(df: DataFrame, file: str, size: int = SIZE) -> DataFrame:
     plan = Plan(local_search(best_fit(lengths, size), size))
     salt = F.xxhash64("doc_id", "piece", "ids_crc32")
     ranked = gapless_rank(cut, "length", salt, [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")])
-    shared = df.sparkSession.sparkContext.broadcast(plan)
+    shared = df.sparkSession.sparkContext.broadcast(plan.places)
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_place(shared), PLACE)
 
 

@@ -1,8 +1,8 @@
 """Two Bloom filters over 64-bit hashes: cells seen once, and cells seen at least twice.
 
 Every task sends the cells it met, sorted, delta-coded and compressed, in 256 ranges; one task for
-each range merges them (a cell that two tasks met, or one task met twice, goes to the second
-filter). Only the second filter goes back to the workers. A hash that was added twice is always
+each range adds up their counts (a cell that two tasks met, or one task met twice, goes to the second
+filter; more filters for higher counts can be had). Only these go back to the workers. A hash that was added twice is always
 found in it; a hash added once is found with a small probability that the load of the filter sets,
 so what is found has to be confirmed exactly.
 
@@ -26,6 +26,8 @@ from .common import written
 MAX_BITS = 29
 MIN_BITS = 16
 RANGES = 256
+#: Counts in a fragment go up to this.
+MOST = 127
 FRAGMENT = "range int, entries long, blob binary"
 
 
@@ -54,12 +56,12 @@ class SeenBuilder:
             cells.sort()
             new = np.concatenate(([True], cells[1:] != cells[:-1]))
             at = np.flatnonzero(new)
-            repeated = np.diff(np.append(at, len(cells))) > 1
-            marked = (cells[at].astype(np.uint64) << np.uint64(1)) | repeated
-            ends = np.searchsorted(marked >> np.uint64(25), np.arange(RANGES + 1))
+            times = np.minimum(np.diff(np.append(at, len(cells))), MOST).astype(np.uint64)
+            marked = (cells[at].astype(np.uint64) << np.uint64(7)) | times
+            ends = np.searchsorted(marked >> np.uint64(31), np.arange(RANGES + 1))
             packer = zstandard.ZstdCompressor(level=1)
             for r in np.flatnonzero(np.diff(ends)):
-                part = marked[ends[r] : ends[r + 1]] & np.uint64((1 << 25) - 1)
+                part = marked[ends[r] : ends[r + 1]] & np.uint64((1 << 31) - 1)
                 deltas = np.diff(part, prepend=np.uint64(0)).astype("<u4")
                 rows.append((int(r), len(part), packer.compress(deltas.view(np.uint8).reshape(-1, 4).T.tobytes())))
         self.held, self.n = [], 0
@@ -67,23 +69,25 @@ class SeenBuilder:
 
 
 class CellFilter:
-    """Bits for the cells that were met often enough."""
+    """Bits for the cells that were met often enough, for one or more bounds."""
 
-    def __init__(self, bits: np.ndarray, width: int, probes: int) -> None:
+    def __init__(self, bits: list[np.ndarray], width: int, probes: int) -> None:
         self.bits, self.width, self.probes = bits, width, probes
 
-    def __contains__(self, value: int) -> bool:
-        return bool(self.found(np.array([value], np.uint64))[0])
+    def parts(self) -> tuple:
+        """What makes the filter again: plain values, which workers can read without this module."""
+        return self.bits, self.width, self.probes
 
-    def found(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
+    def found(self, hashes: np.ndarray, bound: int = 0) -> np.ndarray:
+        """Which hashes may have been met as often as the bound of this number says."""
+        out, bits = np.ones(len(hashes), bool), self.bits[bound]
         for cells in _cells(hashes, self.probes):
             at = cells >> np.uint32(32 - self.width)
-            out &= (self.bits[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) != 0
+            out &= (bits[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8)) & np.uint8(1) != 0
         return out
 
 
-def _merge(width: int, least: int):
+def _merge(width: int, bounds: tuple[int, ...]):
     size = 1 << (width - 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,30 +97,30 @@ def _merge(width: int, least: int):
             for r, n, blob in zip(*(batch.column(c).to_pylist() for c in ("range", "entries", "blob")), strict=True):
                 planes = np.frombuffer(opened.decompress(blob), np.uint8).reshape(4, n)
                 marked = np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.uint64))
-                at = ((marked >> np.uint64(1)) >> np.uint64(32 - width)).astype(np.int64)
+                at = ((marked >> np.uint64(7)) >> np.uint64(32 - width)).astype(np.int64)
                 seen = counts.setdefault(r, np.zeros(size, np.uint8))
                 # cells of one fragment may fall together in a narrower filter
-                first = np.concatenate(([True], at[1:] != at[:-1]))
-                start = np.flatnonzero(first)
-                met = np.add.reduceat(1 + (marked & np.uint64(1)).astype(np.int64), start)
-                seen[at[start]] = np.minimum(2, seen[at[start]] + np.minimum(met, 2))
-        if counts:
-            keys = sorted(counts)
-            packed = [np.packbits(counts[r] >= least, bitorder="little").tobytes() for r in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(packed, pa.binary())], names=["range", "bits"])
+                start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+                met = np.add.reduceat((marked & np.uint64(127)).astype(np.int64), start)
+                seen[at[start]] = np.minimum(255, seen[at[start]] + met)
+        for bound, least in enumerate(bounds):
+            if counts:
+                keys = sorted(counts)
+                packed = [np.packbits(counts[r] >= least, bitorder="little").tobytes() for r in keys]
+                yield pa.RecordBatch.from_arrays([pa.array([bound] * len(keys), pa.int32()), pa.array(keys, pa.int32()), pa.array(packed, pa.binary())], names=["bound", "range", "bits"])
 
     return run
 
 
-def merged(fragments: DataFrame, probes: int = 1, cells_per_entry: int = 6, least: int = 2) -> CellFilter:
-    """Merges the fragments of all tasks into the filter of cells met `least` (1 or 2) times. The driver gets 64 MB at most."""
+def merged(fragments: DataFrame, probes: int = 1, cells_per_entry: int = 6, bounds: tuple[int, ...] = (2,)) -> CellFilter:
+    """Merges the fragments of all tasks into a filter of the cells met at least so many times. The driver gets 64 MB at most."""
     fragments = written(fragments)
     entries = fragments.agg(F.sum("entries")).first()[0] or 0
-    width = min(MAX_BITS, max(MIN_BITS, (entries * cells_per_entry).bit_length()))
+    width = min(MAX_BITS - (len(bounds) - 1).bit_length(), max(MIN_BITS, (entries * cells_per_entry).bit_length()))
     tasks = fragments.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranges = fragments.repartition(min(RANGES, int(tasks)), "range").mapInArrow(_merge(width, least), "range int, bits binary")
-    bits = np.zeros(1 << (width - 3), np.uint8)
+    ranges = fragments.repartition(min(RANGES, int(tasks)), "range").mapInArrow(_merge(width, bounds), "bound int, range int, bits binary")
+    bits = [np.zeros(1 << (width - 3), np.uint8) for _ in bounds]
     step = 1 << (width - 11)
     for row in ranges.toLocalIterator():
-        bits[row["range"] * step : (row["range"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
+        bits[row["bound"]][row["range"] * step : (row["range"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
     return CellFilter(bits, width, probes)

@@ -68,5 +68,5 @@ def test_plan_places_every_rank():
     plan = packing.Plan(bins)
     length = np.array([5] * 10 + [3] * 4 + [2] * 4)
     rank = np.array([*range(10), *range(4), *range(4)])
-    sequence, offset = plan.find(length, rank)
+    sequence, offset = packing.find(plan.places, length, rank)
     assert len({*zip(sequence.tolist(), offset.tolist(), strict=True)}) == 18 and set(sequence.tolist()) == set(range(7))
