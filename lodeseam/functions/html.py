@@ -12,9 +12,10 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LINK = "struct<href:string,text:string,title:string,before:string,after:string>"
-PAGE = f"title string, text string, links array<{LINK}>"
+LINK = T.StructType([T.StructField(n, T.StringType()) for n in ("href", "text", "title", "before", "after")])
+PAGE = T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType()), T.StructField("links", T.ArrayType(LINK))])
 HIDDEN = ("script", "style", "template")
 BEFORE_NODES, BEFORE_CHARS, AFTER_CHARS = 6, 300, 180
 
@@ -66,7 +67,7 @@ def parse(html: str) -> dict:
     events = parser.events
     opened = [i for i, e in enumerate(events) if e[0] == "open"]
     links = []
-    for i, nxt in zip(opened, [*opened[1:], len(events)], strict=True):
+    for i, nxt in zip(opened, [*opened[1:], len(events)], strict=False):
         seen = _last_texts(events, i)
         close = next((k for k in range(i + 1, nxt) if events[k][0] == "close"), None)
         inside = [e[1] for e in events[i + 1 : nxt if close is None else close] if e[0] == "text"]

@@ -67,7 +67,7 @@ def resolve(base: Column, href: Column) -> Column:
     scheme, net, path, query = F.lower(_part(h, 1)), _part(h, 2), _part(h, 3), _part(h, 4)
     own_net = F.rlike(h, F.lit(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"))
     folder = F.regexp_extract(b_path, "^(.*/)", 1)
-    joined = F.when(path == "", b_path).when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    joined = F.when(path == "", b_path).when(F.startswith(path, F.lit("/")), path).otherwise(F.regexp_replace(F.concat(F.when(folder == "", "/").otherwise(folder), path), "/+", "/"))
     joined = F.when((path != "") & F.rlike(joined, F.lit(r"(^|/)\.\.?$")), F.concat(joined, F.lit("/"))).otherwise(joined)
     asked = F.when((path == "") & (query == ""), b_query).otherwise(query)
     relative = F.concat(b_scheme, F.lit("://"), b_net, joined, F.when(asked == "", "").otherwise(F.concat(F.lit("?"), asked)))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lodeseam.functions import vocabulary as V
 from lodeseam.operators import corpus, crawl, links
-from lodeseam.sources import catalog, config
+from lodeseam.plans import discover
+from lodeseam.sources import catalog, config, pages
 from lodeseam.streaming import audit
 
 SITE = "https://school.test/"
@@ -31,8 +32,8 @@ def test_decisions(spark):
 
 
 def test_pages_to_links(spark):
-    pages = spark.createDataFrame([(SITE, "<title>Hi</title><a href='/a'>A</a>"), (SITE + "b", None)], "url string, html string")
-    got = sorted((r["url"], r["link_idx"], r["href"], r["text"]) for r in links.explode_links(pages).collect())
+    table = spark.createDataFrame([(SITE, "<title>Hi</title><a href='/a'>A</a>"), (SITE + "b", None)], "url string, html string")
+    got = sorted((r["url"], r["link_idx"], r["href"], r["text"]) for r in links.explode_links(table).collect())
     assert got == [(SITE, -1, SITE, "Hi"), (SITE, 0, "/a", "A"), (SITE + "b", -1, SITE + "b", "")]
 
 
@@ -74,8 +75,8 @@ def test_sources(spark):
 def test_robots(spark):
     body = "# c\nUser-agent: *\nDisallow: /private\nAllow: /\n\nUser-agent: lode\nDisallow: /x\n"
     robots = spark.createDataFrame([("http://a.test", 200, body), ("http://b.test", 404, ""), ("http://c.test", 403, ""), ("http://d.test", 503, "")], "origin string, status int, body string")
-    pages = spark.createDataFrame([(u,) for u in ("http://a.test/private/1", "http://a.test/x", "http://b.test/", "http://c.test/a", "http://d.test/")], "url string")
-    ask = lambda agent: {r["url"]: r["robots_ok"] for r in crawl.robots_allowed(pages, crawl.robots_rules(robots, agent)).collect()}
+    asked = spark.createDataFrame([(u,) for u in ("http://a.test/private/1", "http://a.test/x", "http://b.test/", "http://c.test/a", "http://d.test/")], "url string")
+    ask = lambda agent: {r["url"]: r["robots_ok"] for r in crawl.robots_allowed(asked, crawl.robots_rules(robots, agent)).collect()}
     assert ask("other/1") == {"http://a.test/private/1": False, "http://a.test/x": True, "http://b.test/": True, "http://c.test/a": False, "http://d.test/": False}
     assert ask("lodeseam/1")["http://a.test/x"] is False and ask("lodeseam/1")["http://a.test/private/1"] is True
 
@@ -178,3 +179,40 @@ def test_audit_stream(spark, tmp_path):
     records = audit.decision_records(d.withColumn("in_domain", F.lit(True)), "run1")
     audit.write_records(records, str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out")).first()["evidence"]["anchor"] == "Textbook"
+
+
+def test_discovery_run(spark, tmp_path):
+    path = tmp_path / "documents.csv"
+    write_catalog(path, [OLD | {"source_url": SITE + "files/old.pdf"}])
+    home = '<title>Home</title><a href="/files/history.pdf">History textbook</a><a href="/files/old.pdf#p2">Old textbook</a><a href="/more">More</a><a href="/login">Login</a>'
+    more = '<a href="/files/grade-8.pdf">Grade 8 Science workbook</a><a href="/files/history.pdf">again</a><a href="https://other.test/x.pdf">textbook</a>'
+    fetched = spark.createDataFrame([(SITE, home), (SITE + "more", more)], "url string, html string")
+    sources = config.check_sources({"sources": [{"id": "a", "name": "A", "base_url": SITE, "enabled": True, "verified": True}, {"id": "b", "base_url": "", "enabled": False, "verified": True}]})
+    dry = discover.run(spark, fetched, sources, V.default_taxonomy(), str(path), str(tmp_path / "dry"), dry_run=True)
+    assert dry["candidates_to_add"] == 2 and dry["preview"]["direct"] == 2 and dry["totals"]["duplicates_skipped"] == 1
+    done = discover.run(spark, fetched, sources, V.default_taxonomy(), str(path), str(tmp_path / "out"))
+    # the page behind /login was reached and isn't in the table of pages
+    assert (done["rows_committed"], done["outcome"], done["exit_code"]) == (2, "partial", 1)
+    with path.open(newline="") as f:
+        rows = list(csv.DictReader(f))
+    assert [(r["doc_id"], r["source_url"], r["document_type"], r["grade"]) for r in rows[1:]] == [("LK-EDU-000010", SITE + "files/history.pdf", "textbook", ""), ("LK-EDU-000011", SITE + "files/grade-8.pdf", "workbook", "8")]
+    records = spark.read.json(str(tmp_path / "out" / "decisions"))
+    assert records.filter("accepted").count() == 4 and records.filter("rejection_reason = 'invalid or external URL'").count() == 1
+    bad = discover.run(spark, fetched, sources, V.default_taxonomy(), str(path), str(tmp_path / "bad"), source_id="zz")
+    assert bad["exit_code"] == 2 and "zz" in bad["error"]
+
+
+def test_fetched_pages(spark):
+    big = bytearray(b"x" * 2_000_001)
+    rows = [("a", SITE + "a", "text/html; charset=utf-8", bytearray(b"<p>"), SITE), ("b", "https://other.test/", "text/html", bytearray(b""), SITE), ("c", SITE, "application/pdf", bytearray(b""), SITE), ("d", SITE, "text/html", big, SITE), ("e", SITE, None, None, SITE)]
+    good, bad = pages.html_pages(spark.createDataFrame(rows, "url string, final_url string, content_type string, body binary, base_url string"))
+    assert [(r["url"], r["html"]) for r in good.collect()] == [("a", "<p>")]
+    assert {r["url"]: r["failure"] for r in bad.collect()} == {"b": "external_redirect", "c": "non_html", "d": "truncated_response", "e": "network_error"}
+    p = spark.createDataFrame([("u1", "u1", 0), ("u2", "u1", 1), ("u3", "u4", 2), ("u4", "u4", 3)], "url string, final_url string, seq int")
+    assert sorted(r["url"] for r in pages.redirect_aliases(p).collect()) == ["u1", "u3"]
+
+
+def test_log_records(spark, tmp_path):
+    (tmp_path / "x.log").write_text("2026-01-01 00:00:00,1 INFO Source a pages_visited=3\nodd line\n2026-01-01 00:00:01,2 INFO done n=1 elapsed_seconds=2.5\n")
+    got = [(r["key"], r["value"]) for r in pages.log_records(spark, str(tmp_path / "x.log")).collect()]
+    assert got == [("pages_visited", "3"), ("n", "1"), ("elapsed_seconds", "2.5")]
