@@ -35,6 +35,13 @@ def _without_dots(path: Column) -> Column:
     return F.when(F.rlike(path, F.lit(r"//|(^|/)\.\.?(/|$)|.")), F.concat(lead, F.array_join(kept, "/"))).otherwise("/")
 
 
+def _joined(path: Column) -> Column:
+    """A rooted path with . and .. taken out and empty segments left, as a reference is resolved."""
+    kept = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(p == ".", done).otherwise(F.concat(done, F.array(p))))
+    out = F.array_join(kept, "/")
+    return F.when(F.startswith(out, F.lit("/")), out).otherwise(F.concat(F.lit("/"), out))
+
+
 def normalize(url: Column) -> Column:
     """The normal form of an HTTP(S) URL without its fragment; empty for what isn't one."""
     u = _stripped(url)
@@ -69,6 +76,7 @@ def resolve(base: Column, href: Column) -> Column:
     folder = F.regexp_extract(b_path, "^(.*/)", 1)
     joined = F.when(path == "", b_path).when(F.startswith(path, F.lit("/")), path).otherwise(F.regexp_replace(F.concat(F.when(folder == "", "/").otherwise(folder), path), "/+", "/"))
     joined = F.when((path != "") & F.rlike(joined, F.lit(r"(^|/)\.\.?$")), F.concat(joined, F.lit("/"))).otherwise(joined)
+    joined = F.when(path == "", b_path).otherwise(_joined(joined))
     asked = F.when((path == "") & (query == ""), b_query).otherwise(query)
     relative = F.concat(b_scheme, F.lit("://"), b_net, joined, F.when(asked == "", "").otherwise(F.concat(F.lit("?"), asked)))
     target = (

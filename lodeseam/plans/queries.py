@@ -130,7 +130,7 @@ def first_wins_url(spark, sf_dir):
 
 
 @query(f"""
-WITH n AS (SELECT page_id, {_NORM} AS source_url FROM (SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '[0-9]+', '') AS u FROM pages))
+WITH n AS (SELECT page_id, {_NORM} AS source_url FROM (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '[0-9]+', ''), '([^:])//+', '\\1/') AS u FROM pages))
 SELECT source_url, min(page_id) AS seq FROM n a WHERE page_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM n b WHERE b.page_id % 2 = 0 AND b.source_url = a.source_url) GROUP BY 1""")
 def new_vs_catalog(spark, sf_dir):
     """Even pages as the catalog, odd ones as candidates (numbers taken out of the URLs, so that some meet)."""

@@ -30,9 +30,9 @@ def html_pages(fetched: DataFrame, base: str = "base_url") -> tuple[DataFrame, D
     """
     kind = F.lower(F.trim(F.substring_index("content_type", ";", 1)))
     final = urls.normalize(F.col("final_url"))
-    failure = F.when(~urls.within(final, urls.normalize(F.col(base))), "external_redirect").when(~kind.isin(HTML_TYPES), "non_html").when(F.octet_length("body") > HTML_BYTES, "truncated_response").when(F.expr("try_validate_utf8(body) IS NULL"), "page_read_error")
+    failure = F.when(~urls.within(final, urls.normalize(F.col(base))), "external_redirect").when(~kind.isin(HTML_TYPES), "non_html").when(F.octet_length("body") > HTML_BYTES, "truncated_response").when(F.expr("try_validate_utf8(cast(body AS string)) IS NULL"), "page_read_error")
     x = fetched.withColumns({"final_url": final, "failure": F.when(F.col("content_type").isNull() | F.col("body").isNull(), "network_error").otherwise(failure)})
-    good = x.filter("failure IS NULL").withColumn("html", F.decode("body", F.lit("UTF-8"))).drop("failure", "body")
+    good = x.filter("failure IS NULL").withColumn("html", F.decode("body", "UTF-8")).drop("failure", "body")
     return good, x.filter("failure IS NOT NULL").drop("body")
 
 

@@ -95,7 +95,7 @@ def test_bad_taxonomy(change):
 
 def test_tables(spark):
     t = config.check_taxonomy(V.default_taxonomy())
-    assert config.subjects_table(spark, t).count() == 32 + 9 and config.levels_table(spark, t).count() == 3
+    assert config.subjects_table(spark, t).count() == 32 + 8 and config.levels_table(spark, t).count() == 3
     text = json.dumps({"schema_version": V.PILOT_SCHEMA, "pilots": [{"doc_id": "LK-EDU-000001", "title": "x"}]})
     assert config.pilots_table(spark, config.check_pilots(text)).count() == 1
     with pytest.raises(ValueError, match="pilots"):
