@@ -86,7 +86,7 @@ def test_quality_edges(edge, nothing, spark):
 
 def test_documents_of_common_lines_go(docs):
     common = [f"this line number {c} is on every page of the host" for c in "abcd"]
-    rows = [(i, "\n".join([*common, f"own words {i}"]), "en", "h1", 1) for i in range(40)] + [(100 + i, f"clean text with its own twelve words or more about thing {i} and thing {i + 1}", "en", "h2", 1) for i in range(40)]
+    rows = [(i, "\n".join([*common, f"own words {i}"]), "en", "h1", 1) for i in range(40)] + [(100 + i, f"clean text with its own twelve words or more about thing {chr(97 + i % 26) * 3} and {chr(97 + i // 26) * 4}", "en", "h2", 1) for i in range(40)]
     got = {r["doc_id"]: r["kept"] for r in quality.judge(docs(rows).withColumnRenamed("source", "host")).collect()}
     assert [got[i] for i in range(40)] == [False] * 40 and all(got[100 + i] for i in range(40))
 
