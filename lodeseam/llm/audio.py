@@ -5,8 +5,8 @@ into twelve pitch classes. Over the integral image of frames and pitch classes,
 filters compare areas; each answer is two bits (a Gray code of three thresholds), and the answers
 at one place make one packed 32-bit integer.
 
-Recordings are aligned through shared integers: for a query and a recording the offset that most
-equal integers agree on is taken from their histogram (offsets at which less than half of the query
+Recordings are aligned through shared runs of `RUN` integers: for a query and a recording the offset
+that most equal runs agree on is taken from their histogram (offsets at which less than half of the query
 overlaps don't count), and the share of differing bits at that offset says how alike they are. Recordings with equal fingerprints are one class; the index and the
 queries hold classes only, so copies cost nothing more.
 
@@ -42,6 +42,8 @@ LOWEST, HIGHEST = 100.0, 1800.0
 THRESHOLD = 0.08
 WIDEST = 12
 MAX_ERROR = 0.35
+#: So many integers in a row have to be equal to count for an offset: single ones are too common.
+RUN = 4
 
 
 def _filters() -> list[tuple[int, int, int, int]]:
@@ -132,8 +134,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def align(queries: DataFrame, recordings: DataFrame, max_error: float = MAX_ERROR) -> DataFrame:
     """query, match, offset, bit_error: for each row of (query, ints) the recording (id, ints) of the fewest differing bits, if they are few enough."""
-    asked = queries.select("query", F.size("ints").alias("nq"), F.posexplode("ints").alias("at", "value"))
-    held = recordings.select("id", F.size("ints").alias("nr"), F.posexplode("ints").alias("place", "value"))
+    places = F.sequence(F.lit(0), F.size("ints") - RUN)
+    runs = F.when(F.size("ints") >= RUN, F.transform(places, lambda i: F.xxhash64(*(F.get("ints", i + k) for k in range(RUN)))))
+    asked = queries.select("query", F.size("ints").alias("nq"), F.posexplode(runs).alias("at", "value"))
+    held = recordings.select("id", F.size("ints").alias("nr"), F.posexplode(runs).alias("place", "value"))
     off = F.col("place") - F.col("at")
     overlap = F.least(F.col("nq") - F.greatest(-off, F.lit(0)), F.col("nr") - F.greatest(off, F.lit(0)))
     votes = asked.join(held, "value").filter(overlap * 2 >= F.col("nq")).groupBy("query", "id", off.alias("offset")).agg(F.count(F.lit(1)).alias("n"))
