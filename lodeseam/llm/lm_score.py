@@ -1,10 +1,11 @@
 """LM scoring with a log-frequency Bloom filter.
 
 1. Training n-grams (n >= 2) go through the twin filters (`seen_filter`); those that may occur
-   `MIN_COUNT` (2) times or more are counted exactly, as are all words. Counts grow with the corpus.
-2. A count c is kept as the level q(c) = 1 + floor(2 log2 c): the n-gram is put into one Bloom filter
-   with each level up to q. A lookup probes level after level until the first miss, so an error can
-   only raise a count, and by one level in most cases. The filter has at most 64 MB, its size follows the
+   `MIN_COUNT` (2) times or more are counted exactly, as are all words. The others occur once, which
+   needs no counting. Counts grow with the corpus.
+2. A count c is kept as the level q(c) = 1 + floor(2 log2 c): words and n-grams of any count are put into
+   one Bloom filter with each level up to q (n-grams without level 2, which no count has). A lookup probes
+   level after level until the first miss, so an error can only raise a count, and by one level in most cases. The filter has at most 64 MB, its size follows the
    entries; it is broadcast.
 3. P(w | v) = (c(vw) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1), back from the
    longest n-gram to words; before the first token of a text stands the end token.
@@ -109,6 +110,7 @@ def level(counts: np.ndarray) -> np.ndarray:
 
 
 def start_level(kind: int) -> int:
+    """The first level of words, and the one of n-grams that follows level 1: that of `MIN_COUNT`."""
     return 1 if kind == 0 else int(level(np.array([MIN_COUNT]))[0])
 
 
@@ -123,7 +125,9 @@ def _send_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
         h = np.where(kind == 0, mix(h + np.uint64(STEP)), h)
         top = level(batch.column("n").to_numpy(zero_copy_only=False))
-        now = np.where(kind == 0, 1, start_level(1))
+        if builder.add(_keys(h, 1)):
+            yield builder.take()
+        now = np.where(kind == 0, 2, start_level(1))
         while len(h):
             keep = now <= top
             h, top, now = h[keep], top[keep], now[keep]
@@ -133,6 +137,21 @@ def _send_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield builder.take()
 
 
+def _send_singles(order: int, shared):
+    """Level 1 of the n-grams that occur once for certain; those that may occur more often are counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, twice, builder = WordHasher(), CellFilter(*shared.value), SeenBuilder(probes=2)
+        for batch in batches:
+            for tokens, sizes in _tokens(batch, known):
+                for grams in _ngrams(tokens, sizes, order)[1:]:
+                    if builder.add(_keys(grams[~twice.found(grams)], 1)):
+                        yield builder.take()
+        yield builder.take()
+
+    return run
+
+
 class Model:
     """The filter, N, V and the order."""
 
@@ -156,6 +175,13 @@ class Model:
             lev += 1
         return out
 
+    def gram_counts(self, h: np.ndarray) -> np.ndarray:
+        """Counts of n-grams: 1 for those with level 1 alone."""
+        out = np.zeros(len(h))
+        at = np.flatnonzero(self.cells.found(_keys(h, 1)))
+        out[at] = np.maximum(1.0, self.counts(h[at], start_level(1)))
+        return out
+
     def log10(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 of the probability of each token."""
         grams = _ngrams(tokens, sizes, self.order)
@@ -167,7 +193,7 @@ class Model:
         starts = np.cumsum(sizes) - sizes
         history[starts] = self.counts(_ngrams(np.array([END], np.uint64), np.array([1]), 1)[0], 1)[0]
         for g in grams[1:]:
-            c = self.counts(g, start_level(1))
+            c = self.gram_counts(g)
             p = (c + MU * p) / (np.maximum(history, c) + MU)
             history = np.roll(c, 1)
             history[starts] = 0
@@ -217,12 +243,12 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame]:
     """The model, and the exact word counts (h, n), from the texts of `rows`."""
     sc, rows = rows.sparkSession.sparkContext, rows.select(F.col("text").cast("string"))
-    twice = merged(rows.mapInArrow(_send_fragments(order), FRAGMENT))
-    sent = rows.mapInArrow(_send_counts(order, sc.broadcast(twice.parts())), "kind int, h long, n long")
-    counts = written(sent.groupBy("kind", "h").agg(F.sum("n").alias("n")).filter(f"kind = 0 OR n >= {MIN_COUNT}"))
+    twice = sc.broadcast(merged(rows.mapInArrow(_send_fragments(order), FRAGMENT)).parts())
+    sent = rows.mapInArrow(_send_counts(order, twice), "kind int, h long, n long")
+    counts = written(sent.groupBy("kind", "h").agg(F.sum("n").alias("n")))
     words = counts.filter("kind = 0").select("h", "n")
     n, v = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    cells = merged(counts.mapInArrow(_send_levels, FRAGMENT), probes=2, bounds=(1,))
+    cells = merged(counts.mapInArrow(_send_levels, FRAGMENT).unionByName(rows.mapInArrow(_send_singles(order, twice), FRAGMENT)), probes=2, bounds=(1,))
     return Model(cells, n or 0, v or 0, order), words
 
 

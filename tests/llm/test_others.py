@@ -175,6 +175,21 @@ def test_counts_of_the_filter(docs):
     assert (got >= floor - 1e-9).all() and (got > floor + 1e-9).mean() < 0.05
 
 
+def test_bigrams_seen_once_count(docs):
+    df = docs(sample(300))
+    model, _ = lm_score.train(df)
+    pairs, h = Counter(), lm_score.WordHasher()
+    for r in df.collect():
+        w, _ = h([r["text"].encode()])
+        t = np.append(w, np.uint64(lm_score.END))
+        pairs.update(lm_score._ngrams(t, np.array([len(t)]), 2)[1].tolist())
+    keys, true = np.array(list(pairs), np.uint64), np.array(list(pairs.values()), float)
+    got, level = model.gram_counts(keys), 2.0 ** ((lm_score.level(true) - 1) / 2)
+    assert (true == 1).mean() > 0.3 and (got >= level - 1e-9).all() and (got > level + 1e-9).mean() < 0.05
+    unseen = lm_score.mix(np.arange(20_000, dtype=np.uint64))
+    assert (model.gram_counts(unseen) > 0).mean() < 0.05
+
+
 def test_lm_of_nothing(nothing):
     x = nothing.select("doc_id", "text").withColumn("held_out", F.lit(False))
     model, words = lm_score.train(x)
