@@ -6,7 +6,9 @@
 2. A count c is kept as the level q(c) = 1 + floor(2 log2 c): words and n-grams of any count are put into
    one Bloom filter with each level up to q (n-grams without level 2, which no count has). A lookup probes
    level after level until the first miss, so an error can only raise a count, and by one level in most cases. The filter has at most 64 MB, its size follows the
-   entries; it is broadcast.
+   entries; it is broadcast. It holds `MAX_KEYS` (entry, level) keys; where there are more, only the lower
+   share of the hashes is in it, and the counts of the others are joined exactly: texts are dealt into
+   chunks, and each chunk gets the counts of its distinct hashes.
 3. P(w | v) = (c(vw) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1), back from the
    longest n-gram to words; before the first token of a text stands the end token.
 
@@ -26,18 +28,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import doc_crc, documents, written
-from .seen_filter import FRAGMENT, CellFilter, SeenBuilder, merged
+from .seen_filter import FRAGMENT, MAX_BITS, CellFilter, SeenBuilder, merged
 from .tokens import WordHasher, mix, parts
 
 ORDER = 2
 MIN_COUNT = 2
 MU = 2.0
 MAX_WORDS = 6_000_000
+#: Keys that the largest filter takes at two probes and six cells for each probe.
+MAX_KEYS = 2**MAX_BITS // 12
+ALL = 1 << 64
+CHUNK_BYTES = 4_000_000
 FLUSH = 3_000_000
 END = 0x51E5D0F7A3C24B19
 STEP = 0x9E3779B97F4A7C15
@@ -79,11 +86,12 @@ def _send_fragments(order: int):
 
 
 def _send_counts(order: int, shared):
-    """Rows (kind, h, n): words with their plain hash (kind 0), suspected n-grams (kind n)."""
+    """Rows (kind, h, n): words with their plain hash (kind 0), suspected n-grams (kind n); kind -1 has the number of all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, twice = WordHasher(), CellFilter(*shared.value)
         held: list[list[np.ndarray]] = [[] for _ in range(order)]
+        others = 0
 
         def take() -> Iterator[pa.RecordBatch]:
             for kind, arrays in enumerate(held):
@@ -98,9 +106,11 @@ def _send_counts(order: int, shared):
                 held[0].append(tokens)
                 for kind, grams in enumerate(_ngrams(tokens, sizes, order)[1:], 1):
                     held[kind].append(grams[twice.found(grams)])
+                    others += len(grams) - len(held[kind][-1])
                 if sum(map(len, held[0])) >= FLUSH:
                     yield from take()
         yield from take()
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([others], pa.int64())], names=["kind", "h", "n"])
 
     return run
 
@@ -118,48 +128,137 @@ def _keys(h: np.ndarray, levels: np.ndarray | int) -> np.ndarray:
     return mix(h ^ mix(np.atleast_1d(np.asarray(levels, np.uint64)) + np.uint64(STEP)))
 
 
-def _send_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    builder = SeenBuilder(probes=2)
+def _within(h: np.ndarray, limit: int) -> np.ndarray:
+    """Which hashes are in the filter's share."""
+    return np.ones(len(h), bool) if limit == ALL else h < np.uint64(limit)
+
+
+def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """kind, hash as in `_ngrams`, and n of rows of counts."""
+    kind, h, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "h", "n"))
+    h = h.view(np.uint64)
+    return kind, np.where(kind == 0, mix(h + np.uint64(STEP)), h), n
+
+
+def _singles(batches: Iterator[pa.RecordBatch], order: int, shared) -> Iterator[np.ndarray]:
+    """The n-grams that occur once for certain; those that may occur more often are counted."""
+    known, twice = WordHasher(), CellFilter(*shared.value)
     for batch in batches:
-        kind = batch.column("kind").to_numpy(zero_copy_only=False)
-        h = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
-        h = np.where(kind == 0, mix(h + np.uint64(STEP)), h)
-        top = level(batch.column("n").to_numpy(zero_copy_only=False))
-        if builder.add(_keys(h, 1)):
-            yield builder.take()
-        now = np.where(kind == 0, 2, start_level(1))
-        while len(h):
-            keep = now <= top
-            h, top, now = h[keep], top[keep], now[keep]
-            if builder.add(_keys(h, now)):
+        for tokens, sizes in _tokens(batch, known):
+            for grams in _ngrams(tokens, sizes, order)[1:]:
+                yield grams[~twice.found(grams)]
+
+
+def _send_levels(limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        builder = SeenBuilder(probes=2)
+        for batch in batches:
+            kind, h, n = _counted(batch)
+            held = _within(h, limit)
+            kind, h, top = kind[held], h[held], level(n[held])
+            if builder.add(_keys(h, 1)):
                 yield builder.take()
-            now = now + 1
-    yield builder.take()
+            now = np.where(kind == 0, 2, start_level(1))
+            while len(h):
+                keep = now <= top
+                h, top, now = h[keep], top[keep], now[keep]
+                if builder.add(_keys(h, now)):
+                    yield builder.take()
+                now = now + 1
+        yield builder.take()
 
+    return run
 
-def _send_singles(order: int, shared):
-    """Level 1 of the n-grams that occur once for certain; those that may occur more often are counted."""
 
+def _send_singles(order: int, shared, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, twice, builder = WordHasher(), CellFilter(*shared.value), SeenBuilder(probes=2)
-        for batch in batches:
-            for tokens, sizes in _tokens(batch, known):
-                for grams in _ngrams(tokens, sizes, order)[1:]:
-                    if builder.add(_keys(grams[~twice.found(grams)], 1)):
-                        yield builder.take()
+        builder = SeenBuilder(probes=2)
+        for h in _singles(batches, order, shared):
+            if builder.add(_keys(h[_within(h, limit)], 1)):
+                yield builder.take()
         yield builder.take()
 
     return run
 
 
+def _pairs(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+
+def _send_beyond(limit: int):
+    """Hashes and counts beyond the filter's share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, h, n = _counted(batch)
+            out = ~_within(h, limit)
+            yield _pairs(h[out], n[out])
+
+    return run
+
+
+def _send_singles_beyond(order: int, shared, limit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for h in _singles(batches, order, shared):
+            h = h[~_within(h, limit)]
+            yield _pairs(h, np.ones(len(h)))
+
+    return run
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds a chunk, of about `CHUNK_BYTES` of text, and each row's number in it."""
+    chunk, row, size = TaskContext.get().partitionId() << 20, 0, 0
+    for batch in batches:
+        chunks, rows = [], []
+        for n in pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist():
+            if size >= CHUNK_BYTES or row >= 1 << 20:
+                chunk, row, size = chunk + 1, 0, 0
+            chunks.append(chunk)
+            rows.append(row)
+            row, size = row + 1, size + n
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64()), pa.array(rows, pa.int64())], names=[*batch.schema.names, "chunk", "row"])
+
+
+def _send_needed(order: int, limit: int):
+    """Rows (chunk, h): the distinct hashes of each chunk beyond the filter's share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, last = WordHasher(), [], None
+
+        def take() -> Iterator[pa.RecordBatch]:
+            h = np.unique(np.concatenate(held)) if held else np.empty(0, np.uint64)
+            for i in range(0, len(h), 100_000):
+                part = h[i : i + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), last, np.int64)), pa.array(part)], names=["chunk", "h"])
+            held.clear()
+
+        for batch in batches:
+            chunks = batch.column("chunk").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)] if len(chunks) else [0]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if chunks[a] != last:
+                    yield from take()
+                    last = int(chunks[a])
+                for tokens, sizes in _tokens(batch.slice(a, b - a).select(["text"]), known):
+                    # the end token is the history of first tokens, and each text has it
+                    for h in _ngrams(tokens, sizes, order):
+                        h = np.unique(h)
+                        held.append(h[~_within(h, limit)])
+        yield from take()
+
+    return run
+
+
 class Model:
-    """The filter, N, V and the order."""
+    """The filter, N, V, the order, and the end of the filter's share of the hashes; `beyond` is the table (h, n) of the others, `known` those at hand."""
 
-    def __init__(self, cells: CellFilter, n: int, v: int, order: int) -> None:
-        self.cells, self.n, self.v, self.order = cells, n, v, order
+    def __init__(self, cells: CellFilter, n: int, v: int, order: int, limit: int = ALL, beyond: DataFrame | None = None) -> None:
+        self.cells, self.n, self.v, self.order, self.limit, self.beyond = cells, n, v, order, limit, beyond
+        self.known: tuple[np.ndarray, np.ndarray] = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def parts(self) -> tuple:
-        return self.cells.parts(), self.n, self.v, self.order
+        return self.cells.parts(), self.n, self.v, self.order, self.limit
 
     @classmethod
     def of(cls, parts: tuple) -> Model:
@@ -175,23 +274,39 @@ class Model:
             lev += 1
         return out
 
+    def _exact(self, h: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """Puts in the counts beyond the filter's share, at the value of their level."""
+        at = np.flatnonzero(~_within(h, self.limit))
+        hashes, n = self.known
+        if len(at) and len(hashes):
+            place = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
+            hit = hashes[place] == h[at]
+            out[at[hit]] = 2.0 ** ((level(n[place[hit]]) - 1) / 2)
+        return out
+
+    def word_counts(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h))
+        at = np.flatnonzero(_within(h, self.limit))
+        out[at] = self.counts(h[at], 1)
+        return self._exact(h, out)
+
     def gram_counts(self, h: np.ndarray) -> np.ndarray:
         """Counts of n-grams: 1 for those with level 1 alone."""
         out = np.zeros(len(h))
-        at = np.flatnonzero(self.cells.found(_keys(h, 1)))
+        at = np.flatnonzero(_within(h, self.limit) & self.cells.found(_keys(h, 1)))
         out[at] = np.maximum(1.0, self.counts(h[at], start_level(1)))
-        return out
+        return self._exact(h, out)
 
     def log10(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 of the probability of each token."""
         grams = _ngrams(tokens, sizes, self.order)
         once, back = np.unique(grams[0], return_inverse=True)
-        words = self.counts(once, 1)[back]
+        words = self.word_counts(once)[back]
         p = (words + 1) / max(1, self.n + self.v + 1)
         # counts of the histories: the n-gram one shorter that ends one token before
         history = np.roll(words, 1)
         starts = np.cumsum(sizes) - sizes
-        history[starts] = self.counts(_ngrams(np.array([END], np.uint64), np.array([1]), 1)[0], 1)[0]
+        history[starts] = self.word_counts(_ngrams(np.array([END], np.uint64), np.array([1]), 1)[0])[0]
         for g in grams[1:]:
             c = self.gram_counts(g)
             p = (c + MU * p) / (np.maximum(history, c) + MU)
@@ -200,36 +315,58 @@ class Model:
         return np.log10(np.minimum(p, 1.0))
 
 
-def _scores(shared, head):
+SCORED = "doc_id long, held_out boolean, uid long, n_tokens long, n_known long, base_score double, score double, tail array<long>"
+
+
+def _scored(batch: pa.RecordBatch, uid: np.ndarray, known: WordHasher, model: Model, head: tuple) -> pa.RecordBatch:
     """Scores each text. Tokens outside the head go on as `tail` when there are words beyond it."""
+    hashes, counts, complete = head
+    logs, low = np.log10(counts + 1.0), np.log10(model.n + model.v + 1.0)
+    cols: list[list[np.ndarray]] = [[] for _ in range(4)]
+    tails: list[np.ndarray] = []
+    for tokens, sizes in _tokens(batch, known):
+        starts = np.cumsum(sizes) - sizes
+        once, back = np.unique(tokens, return_inverse=True)
+        at = np.minimum(np.searchsorted(hashes, once), max(0, len(hashes) - 1))
+        hit = (hashes[at] == once) if len(hashes) else np.zeros(len(once), bool)
+        value = np.where(hit, logs[at] if len(hashes) else 0.0, 0.0)
+        sums = np.add.reduceat(value[back], starts) - sizes * low
+        found = np.add.reduceat(hit[back].astype(np.int64), starts)
+        score = np.add.reduceat(model.log10(tokens, sizes), starts)
+        for c, x in zip(cols, (sizes, found, sums, score), strict=True):
+            c.append(x)
+        if not complete:
+            missed = ~hit[back]
+            tails += [t[m] for t, m in zip(np.split(tokens, starts[1:]), np.split(missed, starts[1:]), strict=True)]
+    size, found, sums, score = (np.concatenate(c) for c in cols) if cols[0] else (np.empty(0),) * 4
+    tail = pa.array([t.view(np.int64) for t in tails], pa.list_(pa.int64())) if not complete else pa.nulls(batch.num_rows, pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(uid.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(sums.astype(float)), pa.array(score.astype(float)), tail], names=[x.split()[0] for x in SCORED.split(", ")])
 
+
+def _scores(shared, head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model = WordHasher(), Model.of(shared.value)
-        hashes, counts, complete = head.value
-        logs = np.log10(counts + 1.0)
-        low, task, row = np.log10(model.n + model.v + 1.0), TaskContext.get().partitionId() << 36, 0
+        task, row = TaskContext.get().partitionId() << 36, 0
         for batch in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(4)]
-            tails: list[np.ndarray] = []
-            for tokens, sizes in _tokens(batch, known):
-                starts = np.cumsum(sizes) - sizes
-                once, back = np.unique(tokens, return_inverse=True)
-                at = np.minimum(np.searchsorted(hashes, once), max(0, len(hashes) - 1))
-                hit = (hashes[at] == once) if len(hashes) else np.zeros(len(once), bool)
-                value = np.where(hit, logs[at] if len(hashes) else 0.0, 0.0)
-                sums = np.add.reduceat(value[back], starts) - sizes * low
-                found = np.add.reduceat(hit[back].astype(np.int64), starts)
-                score = np.add.reduceat(model.log10(tokens, sizes), starts)
-                for c, x in zip(cols, (sizes, found, sums, score), strict=True):
-                    c.append(x)
-                if not complete:
-                    missed = ~hit[back]
-                    tails += [t[m] for t, m in zip(np.split(tokens, starts[1:]), np.split(missed, starts[1:]), strict=True)]
-            size, found, sums, score = (np.concatenate(c) for c in cols) if cols[0] else (np.empty(0),) * 4
-            uid = task + row + np.arange(batch.num_rows)
+            yield _scored(batch, task + row + np.arange(batch.num_rows), known, model, head.value)
             row += batch.num_rows
-            tail = pa.array([t.view(np.int64) for t in tails], pa.list_(pa.int64())) if not complete else pa.nulls(batch.num_rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(uid.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(sums.astype(float)), pa.array(score.astype(float)), tail], names=["doc_id", "held_out", "uid", "n_tokens", "n_known", "base_score", "score", "tail"])
+
+    return run
+
+
+def _chunk_scores(shared, head):
+    """Scores the texts of one chunk with the counts (h, n) of its hashes beyond the filter's share."""
+
+    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        known, model = WordHasher(), Model.of(shared.value)
+        h, at = np.unique(counts.column("h").to_numpy().view(np.uint64), return_index=True)
+        model.known = h, counts.column("n").to_numpy()[at]
+        uid = (texts.column("chunk").to_numpy() << 20) + texts.column("row").to_numpy()
+        out, i = [], 0
+        for batch in texts.select(["doc_id", "held_out", "text"]).to_batches():
+            out.append(_scored(batch, uid[i : i + batch.num_rows], known, model, head.value))
+            i += batch.num_rows
+        return pa.Table.from_batches(out)
 
     return run
 
@@ -240,16 +377,23 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([h], pa.binary()), pa.array([n], pa.binary())], names=["h", "n"])
 
 
-def train(rows: DataFrame, order: int = ORDER) -> tuple[Model, DataFrame]:
-    """The model, and the exact word counts (h, n), from the texts of `rows`."""
+def train(rows: DataFrame, order: int = ORDER, max_keys: int = MAX_KEYS) -> tuple[Model, DataFrame]:
+    """The model, and the exact word counts (h, n), from the texts of `rows`. The filter takes `max_keys` keys, the rest is joined."""
     sc, rows = rows.sparkSession.sparkContext, rows.select(F.col("text").cast("string"))
     twice = sc.broadcast(merged(rows.mapInArrow(_send_fragments(order), FRAGMENT)).parts())
     sent = rows.mapInArrow(_send_counts(order, twice), "kind int, h long, n long")
     counts = written(sent.groupBy("kind", "h").agg(F.sum("n").alias("n")))
     words = counts.filter("kind = 0").select("h", "n")
     n, v = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    cells = merged(counts.mapInArrow(_send_levels, FRAGMENT).unionByName(rows.mapInArrow(_send_singles(order, twice), FRAGMENT)), probes=2, bounds=(1,))
-    return Model(cells, n or 0, v or 0, order), words
+    grams = counts.filter("kind >= 0")
+    levels = F.floor(2 * F.log2("n") + 1e-9) + F.when(F.col("kind") == 0, 1).otherwise(F.when(F.col("n") > 1, 0).otherwise(1))
+    keys = counts.agg(F.sum(F.when(F.col("kind") == -1, F.col("n")).otherwise(levels))).first()[0] or 0
+    limit = ALL if keys <= max_keys else ALL * max_keys // keys
+    cells = merged(grams.mapInArrow(_send_levels(limit), FRAGMENT).unionByName(rows.mapInArrow(_send_singles(order, twice, limit), FRAGMENT)), probes=2, bounds=(1,))
+    beyond = None
+    if limit < ALL:
+        beyond = written(grams.mapInArrow(_send_beyond(limit), "h long, n long").unionByName(rows.mapInArrow(_send_singles_beyond(order, twice, limit), "h long, n long")))
+    return Model(cells, n or 0, v or 0, order, limit, beyond), words
 
 
 def _head(words: DataFrame, v: int, max_words: int) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -275,8 +419,14 @@ def score(df: DataFrame, model: Model, words: DataFrame, max_words: int = MAX_WO
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of (doc_id, held_out, text)."""
     sc = df.sparkSession.sparkContext
     head = _head(words, model.v, max_words)
-    schema = "doc_id long, held_out boolean, uid long, n_tokens long, n_known long, base_score double, score double, tail array<long>"
-    out = df.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string")).mapInArrow(_scores(sc.broadcast(model.parts()), sc.broadcast(head)), schema)
+    shared, shared_head = sc.broadcast(model.parts()), sc.broadcast(head)
+    texts = df.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string"))
+    if model.beyond is None:
+        out = texts.mapInArrow(_scores(shared, shared_head), SCORED)
+    else:
+        texts = written(texts.mapInArrow(_chunked, "doc_id long, held_out boolean, text string, chunk long, row long"))
+        found = texts.select("text", "chunk").mapInArrow(_send_needed(model.order, model.limit), "chunk long, h long").join(model.beyond, "h")
+        out = texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_chunk_scores(shared, shared_head), SCORED)
     if not head[2]:
         out = written(out)
         tail = out.select("uid", F.explode("tail").alias("h")).groupBy("uid", "h").agg(F.count(F.lit(1)).alias("times"))

@@ -190,6 +190,33 @@ def test_bigrams_seen_once_count(docs):
     assert (model.gram_counts(unseen) > 0).mean() < 0.05
 
 
+@pytest.mark.parametrize("max_keys", [0, 3000])
+def test_counts_beyond_the_filter_are_exact(docs, edge, max_keys):
+    for df in (docs(sample(300)), edge):
+        x = df.select("doc_id", "text").withColumn("held_out", F.pmod(lm_score.doc_crc(F.col("doc_id")), F.lit(7)) == 2)
+        model, words = lm_score.train(x.filter("NOT held_out"), max_keys=max_keys)
+        got = sorted((tuple(r) for r in lm_score.score(x, model, words, 50).collect()), key=repr)
+        rows = [(r["doc_id"], [None, *words_of((r["text"] or "").translate(LOW)), None], r["held_out"]) for r in x.collect()]
+        one, two = Counter(), Counter()
+        for _, t, held in rows:
+            if not held:
+                one.update(t[1:])
+                two.update(zip(t, t[1:]))
+        q = lambda c: 2.0 ** (math.floor(2 * math.log2(c) + 1e-9) / 2) if c else 0.0
+        n, v, want = one.total(), len(one), []
+        for doc, t, _ in rows:
+            total = 0.0
+            for a, b in zip(t, t[1:]):
+                c = q(two[a, b])
+                total += math.log10(min(1.0, (c + lm_score.MU * (q(one[b]) + 1) / (n + v + 1)) / (max(q(one[a]), c) + lm_score.MU)))
+            want.append((doc, total))
+        assert len(got) == len(want)
+        slack = 1e-6 if max_keys == 0 else 0.5
+        both = zip(sorted(got, key=lambda g: (repr(g[0]), g[6])), sorted(want, key=lambda w: (repr(w[0]), w[1])), strict=True)
+        assert all(abs(g[6] - w[1]) <= slack + (0.03 * abs(w[1]) if max_keys else 0) for g, w in both)
+        assert model.limit < lm_score.ALL or df is edge
+
+
 def test_lm_of_nothing(nothing):
     x = nothing.select("doc_id", "text").withColumn("held_out", F.lit(False))
     model, words = lm_score.train(x)
