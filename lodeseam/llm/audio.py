@@ -5,10 +5,11 @@ into twelve pitch classes. Over the integral image of frames and pitch classes,
 filters compare areas; each answer is two bits (a Gray code of three thresholds), and the answers
 at one place make one packed 32-bit integer.
 
-Recordings are aligned through shared runs of `RUN` integers: for a query and a recording the offset
-that most equal runs agree on is taken from their histogram (offsets at which less than half of the query
-overlaps don't count), and the share of differing bits at that offset says how alike they are. Recordings with equal fingerprints are one class; the index and the
-queries hold classes only, so copies cost nothing more.
+Every query is held against every recording at every offset (those at which less than half of the query
+overlaps don't count): the share of differing bits at the offset where it is smallest says how alike they
+are, and all pairs within `MAX_ERROR` are returned. Queries go to the workers in blocks; the work is queries
+times recordings. Recordings with equal fingerprints are one class; the index and the queries hold classes
+only, so copies cost nothing more.
 
 The tables here hold no recordings, so the query renders each vector of `embeddings` as a melody
 of as many notes, and takes every recording whose id is divisible by 50 as a query, played late
@@ -42,8 +43,9 @@ LOWEST, HIGHEST = 100.0, 1800.0
 THRESHOLD = 0.08
 WIDEST = 12
 MAX_ERROR = 0.35
-#: So many integers in a row have to be equal to count for an offset: single ones are too common.
-RUN = 4
+#: Queries sent to the workers at once, and recordings and queries that are compared at once.
+QUERY_BLOCK = 50_000
+PIECE = 1000
 
 
 def _filters() -> list[tuple[int, int, int, int]]:
@@ -132,24 +134,75 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["id", "ints", "digest", "again"])
 
 
+def _by_length(ids: list, ints: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces of rows of one length: their ids, and their integers (length, rows)."""
+    sizes = np.array([len(x) for x in ints])
+    for size in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == size)
+        for i in range(0, len(at), PIECE):
+            part = at[i : i + PIECE]
+            yield np.array(ids, np.int64)[part], np.array([ints[k] for k in part]).astype(np.int32).view(np.uint32).T
+
+
+def _words(ints: np.ndarray) -> np.ndarray:
+    """Columns of integers, two in a word."""
+    even = np.pad(ints, ((0, len(ints) % 2), (0, 0))).astype(np.uint64)
+    return even[::2] | (even[1::2] << np.uint64(32))
+
+
+def nearest(q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest share of differing bits and its (smallest) offset, for each column of r and of q."""
+    nq, nr = len(q), len(r)
+    error, offset = np.full((r.shape[1], q.shape[1]), 2.0), np.zeros((r.shape[1], q.shape[1]), np.int32)
+    for off in range(-nq + 1, nr):
+        skip_q, skip_r = max(0, -off), max(0, off)
+        n = min(nq - skip_q, nr - skip_r)
+        if n * 2 < nq:
+            continue
+        a, b = _words(q[skip_q : skip_q + n]), _words(r[skip_r : skip_r + n])
+        for k in range(r.shape[1]):
+            now = np.bitwise_count(a ^ b[:, k : k + 1]).sum(0, dtype=np.uint32) / (32 * n)
+            better = now < error[k]
+            error[k][better] = now[better]
+            offset[k][better] = off
+    return error, offset
+
+
+MATCHES = "query long, matches array<struct<bit_error: double, id: long, offset: int>>"
+
+
+def _scan(shared, max_error: float):
+    """For each query and piece of recordings all matches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = list(_by_length(*shared.value))
+        for batch in batches:
+            for ids, r in _by_length(batch.column("id").to_pylist(), batch.column("ints").to_pylist()):
+                for queries, q in asked:
+                    error, offset = nearest(q, r)
+                    hit = (error <= max_error).T
+                    ends = np.append(0, np.cumsum(hit.sum(1))).astype(np.int32)
+                    _, at = np.nonzero(hit)
+                    pairs = pa.StructArray.from_arrays([pa.array(error.T[hit]), pa.array(ids[at]), pa.array(offset.T[hit])], names=["bit_error", "id", "offset"])
+                    yield pa.RecordBatch.from_arrays([pa.array(queries), pa.ListArray.from_arrays(pa.array(ends), pairs)], names=["query", "matches"])
+
+    return run
+
+
+def _matches(queries: DataFrame, recordings: DataFrame, max_error: float) -> DataFrame:
+    """Rows (query, matches): all recordings within `max_error`, in any number of rows for each query."""
+    spark, n = queries.sparkSession, queries.count()
+    blocks, out = -(-n // QUERY_BLOCK), spark.createDataFrame([], MATCHES)
+    for block in range(blocks):
+        rows = queries.filter(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block).select("query", "ints").toArrow()
+        shared = spark.sparkContext.broadcast((rows.column("query").to_pylist(), [np.array(x, np.int32) for x in rows.column("ints").to_pylist()]))
+        out = out.unionByName(recordings.select("id", "ints").mapInArrow(_scan(shared, max_error), MATCHES))
+    return out
+
+
 def align(queries: DataFrame, recordings: DataFrame, max_error: float = MAX_ERROR) -> DataFrame:
-    """query, match, offset, bit_error: for each row of (query, ints) the recording (id, ints) of the fewest differing bits, if they are few enough."""
-    places = F.sequence(F.lit(0), F.size("ints") - RUN)
-    runs = F.when(F.size("ints") >= RUN, F.transform(places, lambda i: F.xxhash64(*(F.get("ints", i + k) for k in range(RUN)))))
-    asked = queries.select("query", F.size("ints").alias("nq"), F.posexplode(runs).alias("at", "value"))
-    held = recordings.select("id", F.size("ints").alias("nr"), F.posexplode(runs).alias("place", "value"))
-    off = F.col("place") - F.col("at")
-    overlap = F.least(F.col("nq") - F.greatest(-off, F.lit(0)), F.col("nr") - F.greatest(off, F.lit(0)))
-    votes = asked.join(held, "value").filter(overlap * 2 >= F.col("nq")).groupBy("query", "id", off.alias("offset")).agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("query", "id").agg(F.max(F.struct(F.col("n"), (-F.col("offset")).alias("back"))).alias("b")).select("query", "id", (-F.col("b.back")).alias("offset"))
-    both = best.join(queries.select("query", F.col("ints").alias("q")), "query").join(recordings.select("id", F.col("ints").alias("r")), "id")
-    skip_q, skip_r = F.greatest(-F.col("offset"), F.lit(0)), F.greatest(F.col("offset"), F.lit(0))
-    n = F.least(F.size("q") - skip_q, F.size("r") - skip_r)
-    pairs = F.zip_with(F.slice("q", skip_q + 1, n), F.slice("r", skip_r + 1, n), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    error = F.aggregate(pairs, F.lit(0), lambda t, v: t + v) / (n * 32)
-    found = both.select("query", "id", "offset", error.alias("bit_error")).filter(F.col("bit_error") <= max_error)
-    first = found.groupBy("query").agg(F.min(F.struct("bit_error", "id", "offset")).alias("m"))
-    return first.select("query", F.col("m.id").alias("match"), F.col("m.offset").alias("offset"), F.col("m.bit_error").alias("bit_error"))
+    """query, id, offset, bit_error: for each row of (query, ints) all recordings (id, ints) with few enough differing bits."""
+    return _matches(queries, recordings, max_error).select("query", F.inline("matches")).select("query", "id", "offset", "bit_error")
 
 
 def melodies(df: DataFrame, every: int = 50) -> DataFrame:
@@ -159,7 +212,9 @@ def melodies(df: DataFrame, every: int = 50) -> DataFrame:
     prints = written(source.mapInArrow(_fingerprints, "id long, ints array<int>, digest binary, again array<int>"))
     classes = written(prints.groupBy("digest").agg(F.min("id").alias("class_id"), F.any_value("ints").alias("ints"), F.min("again").alias("again")))
     queries = classes.filter("again IS NOT NULL AND size(again) > 0").select(F.col("class_id").alias("query"), F.col("again").alias("ints"))
-    found = align(queries, classes.filter("class_id IS NOT NULL").select(F.col("class_id").alias("id"), "ints"))
+    pieces = _matches(queries, classes.filter("class_id IS NOT NULL").select(F.col("class_id").alias("id"), "ints"), MAX_ERROR)
+    every = pieces.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("matches"))).alias("m")).withColumn("first", F.get("m", F.lit(0)))
+    found = every.select("query", F.col("first.id").alias("match"), F.col("first.offset").alias("offset"), F.col("first.bit_error").alias("bit_error"))
     named = prints.join(classes.select("digest", "class_id"), "digest").withColumn("query", F.when(F.col("again").isNotNull(), F.col("class_id")))
     return named.join(found, "query", "left").select(F.col("id").alias("vec_id"), F.size("ints").cast("long").alias("n_ints"), F.crc32("digest").alias("print_crc32"), "class_id", "match", "offset", "bit_error")
 

@@ -252,6 +252,27 @@ def test_alignment_against_brute_force(spark):
     assert same >= 0.9 * len(asked)
 
 
+def test_all_pairs_within_the_error_at_any_noise(spark):
+    """All pairs against brute force; copies with up to 30 % of their bits turned are among them, without equal runs."""
+    r = np.random.default_rng(3)
+    held = [r.integers(0, 2**32, 50 - i % 3, dtype=np.uint64).astype(np.uint32) for i in range(30)] + [r.integers(0, 2**32, 3, dtype=np.uint64).astype(np.uint32)]
+    turned = lambda x, share: x ^ np.packbits(r.random((len(x), 32)) < share, axis=1).view(np.uint32)[:, 0]
+    asked = {100 + i: turned(x, (0.05, 0.15, 0.3)[i % 3])[i % 4 :] for i, x in enumerate(held)}
+    frame = lambda rows, name: spark.createDataFrame([(i, x.view(np.int32).tolist()) for i, x in rows], f"{name} long, ints array<int>")
+    got = {(g["query"], g["id"]): (g["offset"], g["bit_error"]) for g in audio.align(frame(asked.items(), "query"), frame(enumerate(held), "id")).collect()}
+    want = {}
+    for i, q in asked.items():
+        for j, p in enumerate(held):
+            for off in range(-len(q), len(p)):
+                a, b = q[max(0, -off) :], p[max(0, off) :]
+                n = min(len(a), len(b))
+                if n and 2 * n >= len(q):
+                    e = int(np.bitwise_count(a[:n] ^ b[:n]).sum()) / (32 * n)
+                    if e <= audio.MAX_ERROR and e < want.get((i, j), (0, 2))[1]:
+                        want[i, j] = off, e
+    assert got == want and all((100 + i, i) in got for i in range(30))
+
+
 def test_audio_edges(spark):
     df = spark.createDataFrame([(0, None, 1), (50, [], 1), (1, [0.1] * 64, 1), (1, [0.1] * 64, 1), (None, [0.2, None, float("nan")] * 20, 1), (100, [0.1] * 64, 1)], "vec_id long, embedding array<float>, query int")
     got = audio.melodies(df).collect()
