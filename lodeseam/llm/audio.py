@@ -206,7 +206,7 @@ def align(queries: DataFrame, recordings: DataFrame, max_error: float = MAX_ERRO
 
 
 def melodies(df: DataFrame, every: int = 50) -> DataFrame:
-    """One row for each (vec_id, embedding): its integers' number and hash, its class, and for queries the best match."""
+    """One row for each (vec_id, embedding): its integers' number and hash, its class, and for queries the best match, and all matches but the own class (best first)."""
     source = df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
     source = source.withColumn("asked", F.coalesce(F.col("id") % every == 0, F.lit(False)))
     prints = written(source.mapInArrow(_fingerprints, "id long, ints array<int>, digest binary, again array<int>"))
@@ -214,9 +214,10 @@ def melodies(df: DataFrame, every: int = 50) -> DataFrame:
     queries = classes.filter("again IS NOT NULL AND size(again) > 0").select(F.col("class_id").alias("query"), F.col("again").alias("ints"))
     pieces = _matches(queries, classes.filter("class_id IS NOT NULL").select(F.col("class_id").alias("id"), "ints"), MAX_ERROR)
     every = pieces.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("matches"))).alias("m")).withColumn("first", F.get("m", F.lit(0)))
-    found = every.select("query", F.col("first.id").alias("match"), F.col("first.offset").alias("offset"), F.col("first.bit_error").alias("bit_error"))
+    others = F.filter("m", lambda x: x["id"] != F.col("query")).alias("others")
+    found = every.select("query", F.col("first.id").alias("match"), F.col("first.offset").alias("offset"), F.col("first.bit_error").alias("bit_error"), others)
     named = prints.join(classes.select("digest", "class_id"), "digest").withColumn("query", F.when(F.col("again").isNotNull(), F.col("class_id")))
-    return named.join(found, "query", "left").select(F.col("id").alias("vec_id"), F.size("ints").cast("long").alias("n_ints"), F.crc32("digest").alias("print_crc32"), "class_id", "match", "offset", "bit_error")
+    return named.join(found, "query", "left").select(F.col("id").alias("vec_id"), F.size("ints").cast("long").alias("n_ints"), F.crc32("digest").alias("print_crc32"), "class_id", "match", "offset", "bit_error", "others")
 
 
 def op4_audio_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,6 +273,15 @@ def test_all_pairs_within_the_error_at_any_noise(spark):
     assert got == want and all((100 + i, i) in got for i in range(30))
 
 
+def test_other_recordings_are_reported(spark):
+    emb = spark.read.parquet(f"{DIR}/embeddings.parquet").filter("vec_id = 50").first()["embedding"]
+    near = list(emb)
+    near[40] += 0.1
+    rows = audio.melodies(spark.createDataFrame([(50, list(emb)), (51, near)], "vec_id long, embedding array<float>")).collect()
+    row = next(r for r in rows if r["vec_id"] == 50)
+    assert row["match"] == 50 and [m["id"] for m in row["others"]] == [51]
+
+
 def test_audio_edges(spark):
     df = spark.createDataFrame([(0, None, 1), (50, [], 1), (1, [0.1] * 64, 1), (1, [0.1] * 64, 1), (None, [0.2, None, float("nan")] * 20, 1), (100, [0.1] * 64, 1)], "vec_id long, embedding array<float>, query int")
     got = audio.melodies(df).collect()
