@@ -3,7 +3,8 @@
 A line is normalised (A-Z lower-cased, digits as 0, white space stripped at both ends) and hashed.
 For each host (here: the source) the documents are counted that hold each line. Lines in at least
 `min_docs` documents and more than `per_mille` thousandths of the host's documents are removed, and
-a document that keeps fewer than `min_words` words, or less than half of its own, is rejected.
+a document that keeps fewer than `min_words` words, or less than half of its own, is rejected
+(`cleaned` returns the texts without these lines, `judge` the verdicts alone).
 A host's list of such lines is at most 1000 / `per_mille` times its mean lines a document.
 
 All of it is DataFrame functions. Repeated five-word windows are found within each row by sorting
@@ -57,6 +58,10 @@ def _base(df: DataFrame) -> DataFrame:
     )
 
 
+def _normal(text: Column) -> Column:
+    return F.btrim(F.translate(text, NORMAL_FROM, NORMAL_TO), F.lit(SPACE))
+
+
 def _normal_lines(text: Column) -> Column:
     """The normalised lines that have a word."""
     lines = F.split(F.translate(F.coalesce(text, F.lit("")), NORMAL_FROM, NORMAL_TO), "\n")
@@ -71,21 +76,27 @@ def frequent_lines(df: DataFrame, min_docs: int, per_mille: int) -> DataFrame:
     return written(often.join(hosts, "host").filter(F.col("n") * 1000 > F.col("docs") * per_mille).groupBy("host").agg(F.collect_list("h").alias("frequent")))
 
 
-def judge(df: DataFrame, min_docs: int = MIN_DOCS, per_mille: int = PER_MILLE, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, the counts, base_failed and kept for each row of (doc_id, text, host)."""
+def cleaned(df: DataFrame, min_docs: int = MIN_DOCS, per_mille: int = PER_MILLE, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text without the frequent lines, the counts (of the whole text), base_failed and kept for each row of (doc_id, text, host)."""
     df = df.select("doc_id", "text", F.coalesce("host", F.lit("")).alias("host"))
     frequent = frequent_lines(df, min_docs, per_mille)
     held = frequent.agg(F.sum(F.size("frequent"))).first()[0] or 0
     if held <= BROADCAST_LINES:
         frequent = F.broadcast(frequent)
     x = _base(df).join(frequent, "host", "left")
-    x = x.withColumn("_normal", F.when(F.col("frequent").isNotNull(), _normal_lines(F.col("text"))))
-    x = x.withColumn("_hits", F.array_intersect(F.transform("_normal", lambda s: F.xxhash64(s)), "frequent"))
-    gone = F.aggregate(F.filter("_normal", lambda s: F.array_contains("_hits", F.xxhash64(s))), F.lit(0), lambda t, s: t + F.size(words_of(s)))
-    x = x.withColumn("_left", F.col("n_words") - F.when(F.size("_hits") > 0, gone).otherwise(0))
+    hashes = F.transform(_normal_lines(F.col("text")), lambda s: F.xxhash64(s))
+    x = x.withColumn("_hits", F.when(F.col("frequent").isNotNull(), F.array_intersect(hashes, "frequent")))
+    rest = F.array_join(F.filter(F.split("text", "\n"), lambda s: ~F.array_contains("_hits", F.xxhash64(_normal(s)))), "\n")
+    x = x.withColumn("text", F.when(F.size("_hits") > 0, rest).otherwise(F.col("text")))
+    x = x.withColumn("_left", F.when(F.size("_hits") > 0, F.size(words_of(F.col("text")))).otherwise(F.col("n_words")))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)
     kept = ~failed & (F.col("_left") >= min_words) & (F.col("_left") * 2 >= F.col("n_words"))
-    return x.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), kept.alias("kept"))
+    return x.select("doc_id", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), kept.alias("kept"))
+
+
+def judge(df: DataFrame, min_docs: int = MIN_DOCS, per_mille: int = PER_MILLE, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, the counts, base_failed and kept for each row of (doc_id, text, host)."""
+    return cleaned(df, min_docs, per_mille, min_words).drop("text")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,13 @@ def test_documents_of_common_lines_go(docs):
     assert [got[i] for i in range(40)] == [False] * 40 and all(got[100 + i] for i in range(40))
 
 
+def test_common_lines_are_taken_out_of_the_text(docs):
+    own = "own words of this page that stay where they are in the text, number"
+    rows = [(i, f"Menu line {i % 7} of all pages\n\n{own} {chr(97 + i % 26)}{chr(97 + i // 26)} \n  menu LINE 3 of all pages", "en", "h1", 1) for i in range(40)] + [(99, None, "en", "h1", 0)]
+    got = {r["doc_id"]: (r["text"], r["kept"]) for r in quality.cleaned(docs(rows).withColumnRenamed("source", "host")).collect()}
+    assert got == {99: (None, False)} | {i: (f"\n{own} {chr(97 + i % 26)}{chr(97 + i // 26)} ", True) for i in range(40)}
+
+
 # ---------------------------------------------------------------- sharding
 
 def shards(df, n=4):
