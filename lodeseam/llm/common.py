@@ -32,6 +32,18 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table made by `written`, once what was made of it is written."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for file in df.inputFiles():
+        folder = file.rsplit("/", 1)[0]
+        if "/table-" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+            return
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

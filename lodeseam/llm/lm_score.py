@@ -1,25 +1,29 @@
 """LM scoring with a log-frequency Bloom filter.
 
-1. Training n-grams (n >= 2) go through the twin filters (`seen_filter`); those that may occur
-   `MIN_COUNT` (2) times or more are counted exactly, as are all words. The others occur once, which
-   needs no counting. Counts grow with the corpus.
-2. A count c is kept as the level q(c) = 1 + floor(2 log2 c): words and n-grams of any count are put into
-   one Bloom filter with each level up to q (n-grams without level 2, which no count has). A lookup probes
-   level after level until the first miss, so an error can only raise a count, and by one level in most cases. The filter has at most 64 MB, its size follows the
-   entries; it is broadcast. It holds `MAX_KEYS` (entry, level) keys; where there are more, only the lower
-   share of the hashes is in it, and the counts of the others are joined exactly: texts are dealt into
-   chunks, and each chunk gets the counts of its distinct hashes.
-3. P(w | v) = (c(vw) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1), back from the
-   longest n-gram to words; before the first token of a text stands the end token.
-
-The base score needs exact counts of all words. The `max_words` most frequent ones (12 bytes each)
-go to the workers; tokens beyond them, if there are more words, are joined with the counts by hash.
-Words are known by 64-bit hashes, and the end token by a number.
+1. Texts are packed into chunks; each chunk sends its distinct words and n-grams (n >= 2), with how
+   often its training rows have them, once to the hash ranges they fall in (`chunks`). Words are
+   counted exactly, by 64-bit hashes; n-grams of every count go on, those seen once too.
+2. Each range adds up its n-grams, and keeps a count c as the level q(c) = 1 + floor(2 log2 c): the
+   n-gram is put into the range's slice of the Bloom filter with each level up to q (level 2, which no
+   count has, is left out). A lookup probes level after level until the first miss, so an error can
+   only raise a count, by one level in most cases. A slice has 16 to 32 bits for each (n-gram, level), four probes
+   each, whatever the size of the corpus: an unseen n-gram is found with a probability below 0.3 %.
+3. While the whole filter is proven to fit in `BROADCAST_BYTES` (no text of so few bytes has more
+   n-grams), its slices are broadcast to the workers, which probe them. Beyond that the slices stay
+   where they are, and the chunks' n-grams, which are there already, are probed in their range; the
+   answers are a level each. Slices, probes and so the scores are the same on both ways.
+4. P(w | v) = (c(vw) + MU * P(w)) / (c(v) + MU), with P(w) = (c(w) + 1) / (N + V + 1), back from the
+   longest n-gram to words; before the first token of a text stands the end token. A level stands for
+   the mean of its counts. MU is the one of `GRID` under which the training rows, each token left out
+   of the counts in its turn, are most probable; held-out rows have no part in it.
+
+Words are known by 64-bit hashes, n-grams by the cells of their hashes that `Space` sends, and the
+end token by a number.
 
 Defined cases. A null text is empty: one token, the end. A null id counts as the empty text in the
-fold. Without training rows N and V are 0, and every token has probability 1 / 1 in the base. Equal
-rows are scored one by one. Columns other than doc_id and text are not looked at. An empty table
-gives an empty result.
+fold. Without training rows N and V are 0, and every token has probability 1 / 1. Equal rows are
+scored one by one. Columns other than doc_id, held_out and text are not looked at. An empty table
+gives an empty result. A null held_out is false.
 """
 
 from __future__ import annotations
@@ -28,44 +32,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_crc, documents, written
-from .seen_filter import FRAGMENT, MAX_BITS, CellFilter, SeenBuilder, merged
-from .tokens import WordHasher, mix, parts
+from .chunks import Space, chunked, opened, summed, text_bytes, texts_of, unpacked, unwide, wide
+from .common import discard, doc_crc, documents, written
+from .tokens import WordHasher, groups, mix
 
 ORDER = 2
-MIN_COUNT = 2
-MU = 2.0
-MAX_WORDS = 6_000_000
-#: Keys that the largest filter takes at two probes and six cells for each probe.
-MAX_KEYS = 2**MAX_BITS // 12
-ALL = 1 << 64
-CHUNK_BYTES = 4_000_000
-FLUSH = 3_000_000
+GRID = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 16384.0, 65536.0)
+BITS = 16
+PROBES = 4
+BROADCAST_BYTES = 64 << 20
 END = 0x51E5D0F7A3C24B19
 STEP = 0x9E3779B97F4A7C15
+WORDS, GRAMS, SLICE, TOTAL = range(4)
+ASKED = "chunk long, range int, kind int, keys binary, counts binary"
+ANSWER = "chunk long, range int, kind int, found binary, n long, v long"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, scores array<double>, left_out array<double>"
 
 
-def _tokens(batch: pa.RecordBatch, hasher: WordHasher) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For parts of a batch: all token hashes (each text with its end), and the number of tokens of each text."""
-    for _, texts in parts(batch):
-        words, counts = hasher(texts)
-        sizes = counts + 1
-        out = np.full(int(sizes.sum()), END, np.uint64)
-        keep = np.ones(len(out), bool)
-        keep[np.cumsum(sizes) - 1] = False
-        out[keep] = words
-        yield out, sizes
+def _tokens(texts: list[bytes | None], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """All token hashes (each text with its end), and the number of tokens of each text."""
+    words, counts = hasher(texts)
+    sizes = counts + 1
+    out = np.full(int(sizes.sum()), END, np.uint64)
+    keep = np.ones(len(out), bool)
+    keep[np.cumsum(sizes) - 1] = False
+    out[keep] = words
+    return out, sizes
 
 
 def _ngrams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
-    """Hashes of the n-grams that end at each token, for n = 1 to order; shorter ones at the start of a text begin with its end token."""
+    """Hashes of the n-grams that end at each token, for n = 2 to order; shorter ones at the start of a text begin with its end token."""
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out, gram = [mix(tokens + np.uint64(STEP))], tokens
+    out, gram = [], tokens
     for n in range(1, order):
         before = np.where(place >= n, np.roll(tokens, n), np.uint64(END))
         gram = mix(gram * np.uint64(3) + before)
@@ -73,44 +74,32 @@ def _ngrams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarra
     return out
 
 
-def _send_fragments(order: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, builder = WordHasher(), SeenBuilder()
-        for batch in batches:
-            for tokens, sizes in _tokens(batch, known):
-                if builder.add(np.concatenate(_ngrams(tokens, sizes, order)[1:])):
-                    yield builder.take()
-        yield builder.take()
+def _distinct(chunk: pa.Table, space: Space, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sorted distinct words, and cells of n-grams, of a chunk, with their counts in its training rows."""
+    hasher, learn = WordHasher(), ~chunk.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+    held: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
+    for at, texts in groups(texts_of(chunk)):
+        tokens, sizes = _tokens(texts, hasher)
+        weight = np.repeat(learn[at : at + len(texts)], sizes).astype(np.int64)
+        held[0].append(summed([tokens], [weight]))
+        grams = _ngrams(tokens, sizes, order)
+        if grams:
+            held[1].append(summed([space.cells(g) for g in grams], [weight] * len(grams)))
+    return [summed([k for k, _ in x], [n for _, n in x]) if x else (np.empty(0, np.uint64), np.empty(0, np.int64)) for x in held]
 
-    return run
 
+def _batch(schema: str, kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
-def _send_counts(order: int, shared):
-    """Rows (kind, h, n): words with their plain hash (kind 0), suspected n-grams (kind n); kind -1 has the number of all others."""
 
+def _ask(space: Space, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, twice = WordHasher(), CellFilter(*shared.value)
-        held: list[list[np.ndarray]] = [[] for _ in range(order)]
-        others = 0
-
-        def take() -> Iterator[pa.RecordBatch]:
-            for kind, arrays in enumerate(held):
-                h, n = np.unique(np.concatenate(arrays), return_counts=True) if arrays else (np.empty(0, np.uint64), np.empty(0, np.int64))
-                for i in range(0, len(h), 100_000):
-                    part = h[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part.view(np.int64)), pa.array(n[i : i + 100_000].astype(np.int64))], names=["kind", "h", "n"])
-                arrays.clear()
-
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         for batch in batches:
-            for tokens, sizes in _tokens(batch, known):
-                held[0].append(tokens)
-                for kind, grams in enumerate(_ngrams(tokens, sizes, order)[1:], 1):
-                    held[kind].append(grams[twice.found(grams)])
-                    others += len(grams) - len(held[kind][-1])
-                if sum(map(len, held[0])) >= FLUSH:
-                    yield from take()
-        yield from take()
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([others], pa.int64())], names=["kind", "h", "n"])
+            for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                for kind, (keys, counts) in enumerate(_distinct(opened(blob), space, order)):
+                    yield _batch(ASKED, kinds, [(chunk, r, kind, cells, note) for r, cells, note in space.fragments(keys, counts, kind == WORDS)])
 
     return run
 
@@ -119,324 +108,168 @@ def level(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(2 * np.log2(counts) + 1e-9).astype(np.int64)
 
 
-def start_level(kind: int) -> int:
-    """The first level of words, and the one of n-grams that follows level 1: that of `MIN_COUNT`."""
-    return 1 if kind == 0 else int(level(np.array([MIN_COUNT]))[0])
-
-
-def _keys(h: np.ndarray, levels: np.ndarray | int) -> np.ndarray:
-    return mix(h ^ mix(np.atleast_1d(np.asarray(levels, np.uint64)) + np.uint64(STEP)))
-
-
-def _within(h: np.ndarray, limit: int) -> np.ndarray:
-    """Which hashes are in the filter's share."""
-    return np.ones(len(h), bool) if limit == ALL else h < np.uint64(limit)
+def counts_of(levels: np.ndarray) -> np.ndarray:
+    """The mean of the counts of each level; 0 for level 0."""
+    low, high = np.ceil(2.0 ** ((levels - 1) / 2) - 1e-9), np.ceil(2.0 ** (levels / 2) - 1e-9) - 1
+    return np.where(levels > 0, (low + high) / 2, 0.0)
 
 
-def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """kind, hash as in `_ngrams`, and n of rows of counts."""
-    kind, h, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "h", "n"))
-    h = h.view(np.uint64)
-    return kind, np.where(kind == 0, mix(h + np.uint64(STEP)), h), n
+class Slice:
+    """The part of the filter for one hash range: a Bloom filter over pairs of an n-gram and a level."""
 
+    def __init__(self, bits: np.ndarray, top: int) -> None:
+        self.bits, self.top, self.mask = bits, top, np.uint64(8 * len(bits) - 1)
 
-def _singles(batches: Iterator[pa.RecordBatch], order: int, shared) -> Iterator[np.ndarray]:
-    """The n-grams that occur once for certain; those that may occur more often are counted."""
-    known, twice = WordHasher(), CellFilter(*shared.value)
-    for batch in batches:
-        for tokens, sizes in _tokens(batch, known):
-            for grams in _ngrams(tokens, sizes, order)[1:]:
-                yield grams[~twice.found(grams)]
-
-
-def _send_levels(limit: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        builder = SeenBuilder(probes=2)
-        for batch in batches:
-            kind, h, n = _counted(batch)
-            held = _within(h, limit)
-            kind, h, top = kind[held], h[held], level(n[held])
-            if builder.add(_keys(h, 1)):
-                yield builder.take()
-            now = np.where(kind == 0, 2, start_level(1))
-            while len(h):
-                keep = now <= top
-                h, top, now = h[keep], top[keep], now[keep]
-                if builder.add(_keys(h, now)):
-                    yield builder.take()
-                now = now + 1
-        yield builder.take()
-
-    return run
-
-
-def _send_singles(order: int, shared, limit: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        builder = SeenBuilder(probes=2)
-        for h in _singles(batches, order, shared):
-            if builder.add(_keys(h[_within(h, limit)], 1)):
-                yield builder.take()
-        yield builder.take()
-
-    return run
-
-
-def _pairs(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
-
-
-def _send_beyond(limit: int):
-    """Hashes and counts beyond the filter's share."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, h, n = _counted(batch)
-            out = ~_within(h, limit)
-            yield _pairs(h[out], n[out])
-
-    return run
-
-
-def _send_singles_beyond(order: int, shared, limit: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h in _singles(batches, order, shared):
-            h = h[~_within(h, limit)]
-            yield _pairs(h, np.ones(len(h)))
-
-    return run
-
-
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds a chunk, of about `CHUNK_BYTES` of text, and each row's number in it."""
-    chunk, row, size = TaskContext.get().partitionId() << 20, 0, 0
-    for batch in batches:
-        chunks, rows = [], []
-        for n in pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist():
-            if size >= CHUNK_BYTES or row >= 1 << 20:
-                chunk, row, size = chunk + 1, 0, 0
-            chunks.append(chunk)
-            rows.append(row)
-            row, size = row + 1, size + n
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64()), pa.array(rows, pa.int64())], names=[*batch.schema.names, "chunk", "row"])
-
-
-def _send_needed(order: int, limit: int):
-    """Rows (chunk, h): the distinct hashes of each chunk beyond the filter's share."""
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray) -> Slice:
+        levels = level(counts) if len(counts) else np.empty(0, np.int64)
+        size = 1 << max(6, (int(np.maximum(levels - 1, 1).sum()) * BITS).bit_length())
+        marks, top = np.zeros(size, bool), int(levels.max(initial=0))
+        out = cls(np.empty(size // 8, np.uint8), top)
+        for lev in cls.ladder(top):
+            keys, levels = keys[levels >= lev], levels[levels >= lev]
+            for at in out._places(keys, lev):
+                marks[at] = True
+        out.bits = np.packbits(marks, bitorder="little")
+        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, last = WordHasher(), [], None
+    @staticmethod
+    def ladder(top: int) -> list[int]:
+        return [lev for lev in range(1, top + 1) if lev != 2]
+
+    def _places(self, keys: np.ndarray, lev: int) -> Iterator[np.ndarray]:
+        h = mix(keys ^ mix(np.array([lev], np.uint64) + np.uint64(STEP)))
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        for i in range(PROBES):
+            yield (h + np.uint64(i) * step) & self.mask
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each n-gram by probing until the first miss; 0 where the first probe misses."""
+        out, at = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+        for lev in self.ladder(self.top):
+            hit = np.ones(len(at), bool)
+            for p in self._places(keys[at], lev):
+                hit &= (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+            at = at[hit]
+            if not len(at):
+                break
+            out[at] = lev
+        return out
 
-        def take() -> Iterator[pa.RecordBatch]:
-            h = np.unique(np.concatenate(held)) if held else np.empty(0, np.uint64)
-            for i in range(0, len(h), 100_000):
-                part = h[i : i + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), last, np.int64)), pa.array(part)], names=["chunk", "h"])
-            held.clear()
+    def raw(self) -> bytes:
+        return bytes([self.top]) + self.bits.tobytes()
 
-        for batch in batches:
-            chunks = batch.column("chunk").to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)] if len(chunks) else [0]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if chunks[a] != last:
-                    yield from take()
-                    last = int(chunks[a])
-                for tokens, sizes in _tokens(batch.slice(a, b - a).select(["text"]), known):
-                    # the end token is the history of first tokens, and each text has it
-                    for h in _ngrams(tokens, sizes, order):
-                        h = np.unique(h)
-                        held.append(h[~_within(h, limit)])
-        yield from take()
+    @classmethod
+    def parse(cls, raw: bytes) -> Slice:
+        return cls(np.frombuffer(raw, np.uint8)[1:], raw[0])
+
+
+def _answer(route: bool):
+    """Of a range: N and V of its words, the counts of each chunk's words, and its slice, or what that says of each chunk's n-grams."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+
+    def run(asked: pa.Table) -> pa.Table:
+        r, rows = asked.column("range")[0].as_py(), []
+        for kind in (WORDS, GRAMS):
+            of_kind = asked.filter(pa.array(asked.column("kind").to_numpy() == kind))
+            if not of_kind.num_rows:
+                continue
+            chunks, keys = of_kind.column("chunk").to_pylist(), [unpacked(b) for b in of_kind.column("keys").to_pylist()]
+            every, counts = summed(keys, [unwide(b) for b in of_kind.column("counts").to_pylist()])
+            if kind == WORDS:
+                rows.append((None, r, TOTAL, None, int(counts.sum()), int((counts > 0).sum())))
+                rows += [(c, r, kind, wide(counts[np.searchsorted(every, k)]), None, None) for c, k in zip(chunks, keys, strict=True)]
+                continue
+            cells = Slice.of(every[counts > 0], counts[counts > 0])
+            if route:
+                levels = cells.levels(every)
+                rows += [(c, r, kind, wide(levels[np.searchsorted(every, k)]), None, None) for c, k in zip(chunks, keys, strict=True)]
+            else:
+                rows.append((None, r, SLICE, cells.raw(), None, None))
+        return pa.Table.from_batches([_batch(ANSWER, kinds, rows)])
 
     return run
 
 
-class Model:
-    """The filter, N, V, the order, and the end of the filter's share of the hashes; `beyond` is the table (h, n) of the others, `known` those at hand."""
-
-    def __init__(self, cells: CellFilter, n: int, v: int, order: int, limit: int = ALL, beyond: DataFrame | None = None) -> None:
-        self.cells, self.n, self.v, self.order, self.limit, self.beyond = cells, n, v, order, limit, beyond
-        self.known: tuple[np.ndarray, np.ndarray] = np.empty(0, np.uint64), np.empty(0, np.int64)
+def _joined(answers: pa.Table, kind: int) -> np.ndarray:
+    """The answers of all ranges, in the order of the chunk's keys."""
+    own = answers.filter(pa.array(answers.column("kind").to_numpy() == kind)).sort_by("range")
+    return np.concatenate([unwide(b) for b in own.column("found").to_pylist()])
 
-    def parts(self) -> tuple:
-        return self.cells.parts(), self.n, self.v, self.order, self.limit
-
-    @classmethod
-    def of(cls, parts: tuple) -> Model:
-        return cls(CellFilter(*parts[0]), *parts[1:])
-
-    def counts(self, h: np.ndarray, first: int) -> np.ndarray:
-        """Counts by probing levels from `first` on until a miss; 0 where the first one misses."""
-        out = np.zeros(len(h))
-        at, lev = np.arange(len(h)), first
-        while len(at):
-            at = at[self.cells.found(_keys(h[at], lev))]
-            out[at] = 2.0 ** ((lev - 1) / 2)
-            lev += 1
-        return out
-
-    def _exact(self, h: np.ndarray, out: np.ndarray) -> np.ndarray:
-        """Puts in the counts beyond the filter's share, at the value of their level."""
-        at = np.flatnonzero(~_within(h, self.limit))
-        hashes, n = self.known
-        if len(at) and len(hashes):
-            place = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
-            hit = hashes[place] == h[at]
-            out[at[hit]] = 2.0 ** ((level(n[place[hit]]) - 1) / 2)
-        return out
 
-    def word_counts(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h))
-        at = np.flatnonzero(_within(h, self.limit))
-        out[at] = self.counts(h[at], 1)
-        return self._exact(h, out)
-
-    def gram_counts(self, h: np.ndarray) -> np.ndarray:
-        """Counts of n-grams: 1 for those with level 1 alone."""
-        out = np.zeros(len(h))
-        at = np.flatnonzero(_within(h, self.limit) & self.cells.found(_keys(h, 1)))
-        out[at] = np.maximum(1.0, self.counts(h[at], start_level(1)))
-        return self._exact(h, out)
-
-    def log10(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each token."""
-        grams = _ngrams(tokens, sizes, self.order)
-        once, back = np.unique(grams[0], return_inverse=True)
-        words = self.word_counts(once)[back]
-        p = (words + 1) / max(1, self.n + self.v + 1)
-        # counts of the histories: the n-gram one shorter that ends one token before
-        history = np.roll(words, 1)
-        starts = np.cumsum(sizes) - sizes
-        history[starts] = self.word_counts(_ngrams(np.array([END], np.uint64), np.array([1]), 1)[0])[0]
-        for g in grams[1:]:
-            c = self.gram_counts(g)
-            p = (c + MU * p) / (np.maximum(history, c) + MU)
-            history = np.roll(c, 1)
-            history[starts] = 0
-        return np.log10(np.minimum(p, 1.0))
-
-
-SCORED = "doc_id long, held_out boolean, uid long, n_tokens long, n_known long, base_score double, score double, tail array<long>"
-
-
-def _scored(batch: pa.RecordBatch, uid: np.ndarray, known: WordHasher, model: Model, head: tuple) -> pa.RecordBatch:
-    """Scores each text. Tokens outside the head go on as `tail` when there are words beyond it."""
-    hashes, counts, complete = head
-    logs, low = np.log10(counts + 1.0), np.log10(model.n + model.v + 1.0)
-    cols: list[list[np.ndarray]] = [[] for _ in range(4)]
-    tails: list[np.ndarray] = []
-    for tokens, sizes in _tokens(batch, known):
-        starts = np.cumsum(sizes) - sizes
-        once, back = np.unique(tokens, return_inverse=True)
-        at = np.minimum(np.searchsorted(hashes, once), max(0, len(hashes) - 1))
-        hit = (hashes[at] == once) if len(hashes) else np.zeros(len(once), bool)
-        value = np.where(hit, logs[at] if len(hashes) else 0.0, 0.0)
-        sums = np.add.reduceat(value[back], starts) - sizes * low
-        found = np.add.reduceat(hit[back].astype(np.int64), starts)
-        score = np.add.reduceat(model.log10(tokens, sizes), starts)
-        for c, x in zip(cols, (sizes, found, sums, score), strict=True):
-            c.append(x)
-        if not complete:
-            missed = ~hit[back]
-            tails += [t[m] for t, m in zip(np.split(tokens, starts[1:]), np.split(missed, starts[1:]), strict=True)]
-    size, found, sums, score = (np.concatenate(c) for c in cols) if cols[0] else (np.empty(0),) * 4
-    tail = pa.array([t.view(np.int64) for t in tails], pa.list_(pa.int64())) if not complete else pa.nulls(batch.num_rows, pa.list_(pa.int64()))
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(uid.astype(np.int64)), pa.array(size.astype(np.int64)), pa.array(found.astype(np.int64)), pa.array(sums.astype(float)), pa.array(score.astype(float)), tail], names=[x.split()[0] for x in SCORED.split(", ")])
-
-
-def _scores(shared, head):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = WordHasher(), Model.of(shared.value)
-        task, row = TaskContext.get().partitionId() << 36, 0
-        for batch in batches:
-            yield _scored(batch, task + row + np.arange(batch.num_rows), known, model, head.value)
-            row += batch.num_rows
+def _probed(cells: np.ndarray, space: Space, slices: dict[int, bytes]) -> np.ndarray:
+    """Levels of sorted cells out of the broadcast slices."""
+    ends = np.searchsorted(cells >> np.uint64(space.width - space.range_bits), np.arange((1 << space.range_bits) + 1, dtype=np.uint64))
+    return np.concatenate([Slice.parse(slices[r]).levels(cells[ends[r] : ends[r + 1]]) if r in slices else np.zeros(ends[r + 1] - ends[r], np.uint8) for r in range(1 << space.range_bits)])
 
-    return run
 
+def _before(counts: np.ndarray, starts: np.ndarray, at_start: float) -> np.ndarray:
+    """What stands one token before each token."""
+    out = np.roll(counts, 1)
+    out[starts] = at_start
+    return out
 
-def _chunk_scores(shared, head):
-    """Scores the texts of one chunk with the counts (h, n) of its hashes beyond the filter's share."""
 
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        known, model = WordHasher(), Model.of(shared.value)
-        h, at = np.unique(counts.column("h").to_numpy().view(np.uint64), return_index=True)
-        model.known = h, counts.column("n").to_numpy()[at]
-        uid = (texts.column("chunk").to_numpy() << 20) + texts.column("row").to_numpy()
-        out, i = [], 0
-        for batch in texts.select(["doc_id", "held_out", "text"]).to_batches():
-            out.append(_scored(batch, uid[i : i + batch.num_rows], known, model, head.value))
-            i += batch.num_rows
+def log_probabilities(words: np.ndarray, grams: list[np.ndarray], starts: np.ndarray, ends: float, n: int, v: int, mu: float, left_out: bool = False) -> np.ndarray:
+    """log10 of the probability of each token from the counts of words, n-grams, and the end token; `left_out`: with the token itself taken out of them."""
+    less = 1 if left_out else 0
+    p = np.minimum(1.0, (np.maximum(words - less, 0) + 1) / max(1, n - less + v + 1))
+    history = _before(words, starts, ends)
+    for c in grams:
+        c_less = np.maximum(c - less, 0)
+        p = np.minimum(1.0, (c_less + mu * p) / (np.maximum(np.maximum(history, c) - less, 0) + mu))
+        history = _before(c, starts, 0.0)
+    return np.log10(p)
+
+
+def _scores(space: Space, order: int, n: int, v: int, shared):
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        out = [_batch(SCORED, kinds, [])]
+        for blob in chunks.column("blob").to_pylist():
+            table, hasher = opened(blob), WordHasher()
+            (known, _), (cells, _) = _distinct(table, space, order)
+            counts = _joined(answers, WORDS).astype(np.int64)
+            levels = np.empty(0, np.uint8) if order < 2 else _joined(answers, GRAMS).astype(np.uint8) if shared is None else _probed(cells, space, shared.value)
+            value, low = counts_of(levels.astype(np.int64)), np.log10(n + v + 1.0)
+            ends = float(counts[np.searchsorted(known, np.uint64(END))])
+            ids, held = table.column("doc_id").to_pylist(), table.column("held_out").to_pylist()
+            for at, texts in groups(texts_of(table)):
+                tokens, sizes = _tokens(texts, hasher)
+                starts = np.cumsum(sizes) - sizes
+                c = counts[np.searchsorted(known, tokens)]
+                grams = [value[np.searchsorted(cells, space.cells(g))] for g in _ngrams(tokens, sizes, order)]
+                base = np.add.reduceat(np.log10(c + 1.0), starts) - sizes * low
+                scores, left = (np.stack([np.add.reduceat(log_probabilities(c, grams, starts, ends, n, v, mu, less), starts) for mu in GRID], 1) for less in (False, True))
+                here = slice(at, at + len(texts))
+                out.append(_batch(SCORED, kinds, list(zip(ids[here], held[here], sizes.tolist(), np.add.reduceat((c > 0).astype(np.int64), starts).tolist(), base.tolist(), scores.tolist(), left.tolist(), strict=True))))
         return pa.Table.from_batches(out)
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        h, n = (batch.column(c).to_numpy(zero_copy_only=False).tobytes() for c in ("h", "n"))
-        yield pa.RecordBatch.from_arrays([pa.array([h], pa.binary()), pa.array([n], pa.binary())], names=["h", "n"])
-
-
-def train(rows: DataFrame, order: int = ORDER, max_keys: int = MAX_KEYS) -> tuple[Model, DataFrame]:
-    """The model, and the exact word counts (h, n), from the texts of `rows`. The filter takes `max_keys` keys, the rest is joined."""
-    sc, rows = rows.sparkSession.sparkContext, rows.select(F.col("text").cast("string"))
-    twice = sc.broadcast(merged(rows.mapInArrow(_send_fragments(order), FRAGMENT)).parts())
-    sent = rows.mapInArrow(_send_counts(order, twice), "kind int, h long, n long")
-    counts = written(sent.groupBy("kind", "h").agg(F.sum("n").alias("n")))
-    words = counts.filter("kind = 0").select("h", "n")
-    n, v = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    grams = counts.filter("kind >= 0")
-    levels = F.floor(2 * F.log2("n") + 1e-9) + F.when(F.col("kind") == 0, 1).otherwise(F.when(F.col("n") > 1, 0).otherwise(1))
-    keys = counts.agg(F.sum(F.when(F.col("kind") == -1, F.col("n")).otherwise(levels))).first()[0] or 0
-    limit = ALL if keys <= max_keys else ALL * max_keys // keys
-    cells = merged(grams.mapInArrow(_send_levels(limit), FRAGMENT).unionByName(rows.mapInArrow(_send_singles(order, twice, limit), FRAGMENT)), probes=2, bounds=(1,))
-    beyond = None
-    if limit < ALL:
-        beyond = written(grams.mapInArrow(_send_beyond(limit), "h long, n long").unionByName(rows.mapInArrow(_send_singles_beyond(order, twice, limit), "h long, n long")))
-    return Model(cells, n or 0, v or 0, order, limit, beyond), words
-
-
-def _head(words: DataFrame, v: int, max_words: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """The most frequent words, `max_words` of them at most, and whether these are all."""
-    least = 1
-    if v > max_words:
-        kept = 0
-        for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("n")).toLocalIterator():
-            kept += r["w"]
-            if kept > max_words:
-                least = r["n"] + 1
-                break
-    h, n = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for r in words.filter(F.col("n") >= least).mapInArrow(_packed, "h binary, n binary").toLocalIterator():
-        h.append(np.frombuffer(r["h"], np.uint64))
-        n.append(np.frombuffer(r["n"], np.int64))
-    h, n = np.concatenate(h), np.concatenate(n)
-    order = np.argsort(h)
-    return h[order], n[order].astype(np.uint32 if (n < 2**32).all() else np.int64), v <= max_words
-
-
-def score(df: DataFrame, model: Model, words: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of (doc_id, held_out, text)."""
+def score(df: DataFrame, order: int = ORDER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of (doc_id, held_out, text), learned from those not held out."""
     sc = df.sparkSession.sparkContext
-    head = _head(words, model.v, max_words)
-    shared, shared_head = sc.broadcast(model.parts()), sc.broadcast(head)
-    texts = df.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string"))
-    if model.beyond is None:
-        out = texts.mapInArrow(_scores(shared, shared_head), SCORED)
-    else:
-        texts = written(texts.mapInArrow(_chunked, "doc_id long, held_out boolean, text string, chunk long, row long"))
-        found = texts.select("text", "chunk").mapInArrow(_send_needed(model.order, model.limit), "chunk long, h long").join(model.beyond, "h")
-        out = texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_chunk_scores(shared, shared_head), SCORED)
-    if not head[2]:
-        out = written(out)
-        tail = out.select("uid", F.explode("tail").alias("h")).groupBy("uid", "h").agg(F.count(F.lit(1)).alias("times"))
-        more = tail.join(words, "h").groupBy("uid").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
-        out = out.drop("tail").join(more, "uid", "left").withColumns({"n_known": F.col("n_known") + F.coalesce("more", F.lit(0)), "base_score": F.col("base_score") + F.coalesce("logs", F.lit(0.0))})
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+    chunks = written(chunked(df.select(F.col("doc_id").cast("long"), F.coalesce("held_out", F.lit(False)).alias("held_out"), F.col("text").cast("string"))))
+    size = text_bytes(chunks)
+    # a text of so many bytes (and one a row) has no more tokens, its n-grams' levels are no more than tokens, of four bytes each
+    route, space = 4 * (order - 1) * size > broadcast_bytes, Space.of(size)
+    answers = written(chunks.select("chunk", "blob").mapInArrow(_ask(space, order), ASKED).groupBy("range").applyInArrow(_answer(route), ANSWER))
+    n, v = answers.filter(F.col("kind") == TOTAL).agg(F.sum("n"), F.sum("v")).first()
+    shared = None
+    if not route:
+        shared = sc.broadcast({r["range"]: bytes(r["found"]) for r in answers.filter(F.col("kind") == SLICE).select("range", "found").toLocalIterator()})
+    own = answers.filter(F.col("chunk").isNotNull()).select("chunk", "range", "kind", "found")
+    scored = written(chunks.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(_scores(space, order, n or 0, v or 0, shared), SCORED))
+    discard(chunks)
+    discard(answers)
+    sums = scored.filter("NOT held_out").agg(*(F.sum(F.get("left_out", F.lit(i))).alias(f"s{i}") for i in range(len(GRID)))).first()
+    best = max(range(len(GRID)), key=lambda i: (sums[i] if sums[i] is not None else 0.0, -i))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n or 0).cast("long").alias("train_tokens"), "base_score", F.get("scores", F.lit(best)).alias("score"))
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    docs = docs.withColumn("held_out", F.pmod(doc_crc(F.col("doc_id")), F.lit(7)) == 2)
-    model, words = train(docs.filter("NOT held_out"))
-    return score(docs, model, words)
+    return score(docs.withColumn("held_out", F.pmod(doc_crc(F.col("doc_id")), F.lit(7)) == 2))

@@ -6,22 +6,23 @@ shingles. A hash deals the universe into m segments, so at most T segments of su
 * Size bands: band b holds sizes from 2**b up to 2**(b+1), so for t of 1/2 or more a partner lies in
   the same or the next band. The larger set's band gives the segments; a set is indexed for its own
   band, and for the next one if that holds sizes within its reach.
-* Large bands: m is 1.5 times T+1. Of x's segment subsets the T+1 first, under one order for all
-  documents, must hold a common one. The order is by cost: subsets that the twin filters
-  (`seen_filter`) show to be in one set only come first and cost nothing, since nobody can share
-  them; then those that few others hold, those that many hold, and empty segments last. A set with T+1 subsets of its own has no
-  partner, and sends nothing.
+* Large bands: m is `SLACK` times T+1. Of x's segment subsets the T+1 first, under one order for all
+  documents, must hold a common one. The order is by cost: how many sets have the subset, as decided
+  by hash range over the whole corpus (`chunks`); empty segments come last. Subsets that one set has
+  alone cost nothing, since nobody can share them. A set with T+1 subsets of its own has no partner,
+  and sends nothing.
 * Small bands: (T+1)/2 segments, each with its one-deletion neighbourhood: some segment differs in
   one shingle at most, so the subsets or their neighbours meet.
 
-Equal sets form a class first, and only classes are joined. In a bucket of classes with one
-signature, not all pairs are compared at once: all members are compared with the hub, the class with
-the largest share of signatures that many others have (near copies of one text have it in common,
-even where they differ too much from each other), and links join classes into components; where a
-bucket's components still differ, all members are compared with `PIVOTS` more; then all whose components still differ are compared in blocks,
-so no link between components is lost. Each comparison is first held against a parity bitmap (a
-lower bound of the difference), then made exactly on the whole shingle sets (64-bit hashes of the
-shingles; between classes, 58 bits of a 128-bit hash of the set are its name).
+Equal sets form a class first (by a 128-bit hash of the set), and one row of each class is joined.
+In a bucket of classes with one signature, not all pairs are compared at once: all members are
+compared with the hub, the class with the largest share of signatures that many others have (near
+copies of one text have it in common, even where they differ too much from each other), and links
+join classes into components; where a bucket's components still differ, all members are compared
+with `PIVOTS` more; then all whose components still differ are compared in blocks, once for all
+buckets with the same members, so no link between components is lost. Each comparison is first held
+against a parity bitmap (a lower bound of the difference), then made exactly on the whole shingle
+sets (64-bit hashes of the shingles).
 
 Defined cases. Documents without words have an empty set, and are linked with nothing, not even with
 each other. Fewer words than a shingle make one shingle. Null ids never become a component's name
@@ -39,17 +40,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, written
-from .seen_filter import CellFilter, SeenBuilder, merged
-from .tokens import BASE, WordHasher, mix, parts
+from .chunks import ROW_BITS, Space, chunked, opened, packed, pressed, summed, text_bytes, texts_of, unpacked, unwide, wide
+from .common import discard, documents, written
+from .tokens import BASE, WordHasher, groups, mix
 
 PIVOTS = 6
 SLACK = 1.5
 SMALL = 48
-#: Signatures in so many sets or more are the costly ones.
-OFTEN = 6
+#: Signatures in so many sets (a power of two) or more are the costly ones.
+OFTEN = 8
 PARITY_WORDS = 32
-BLOCK = 256
+BLOCK = 2048
+#: The level of empty segments in the order of costs.
+EMPTY = 255
 
 
 class Shingler:
@@ -147,94 +150,120 @@ def _parity(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-#: The name of a class in the join: 58 bits of its hash, below five bits for the share of its signatures that few others have.
-NAME_BITS = 58
-KEY = "shiftrightunsigned(shiftleft(cast(conv(hex(substring(cls, 1, 4)), 16, 10) AS bigint), 32) | cast(conv(hex(substring(cls, 5, 4)), 16, 10) AS bigint), 6)"
+TEXTS = -1
+FIRST = "chunk long, bytes long, blob binary, uid long, doc_id long, n long, cls binary"
+ASKED = "chunk long, range int, keys binary, counts binary"
+ANSWER = "chunk long, range int, keys binary, levels binary"
+SECOND = "uid long, rare int, n long, sigs array<long>, parity array<long>, shingles binary"
 
 
-def _name(digest: bytes, total: int, often: int) -> int:
-    """Small for the sets whose parts many others have, so that the smallest name of a bucket is its hub."""
-    rare = min(31, 32 * (total - often) // max(1, total))
-    return rare << NAME_BITS | int.from_bytes(digest[:8], "big") >> 64 - NAME_BITS
+def _batch(schema: str, kinds: list[pa.DataType], columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
 
-FIRST = "doc_id long, n long, cls binary, range int, entries long, blob binary"
-SECOND = "cls long, n long, sigs array<long>, parity array<long>, shingles binary"
-REMEMBER = 200_000
+def _classes(words: int):
+    """The chunks as they are, and for each of their documents the size and the hash of its set."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(words)
+        for batch in batches:
+            for chunk, size, blob in zip(*(batch.column(c).to_pylist() for c in ("chunk", "bytes", "blob")), strict=True):
+                yield _batch(FIRST, kinds, [[chunk], [size], [blob], [None], [None], [None], [None]])
+                table = opened(blob)
+                ids = table.column("doc_id").to_pylist()
+                for at, texts in groups(texts_of(table)):
+                    sets = shingles(texts)
+                    none, n = [None] * len(sets), len(sets)
+                    yield _batch(FIRST, kinds, [none, none, none, [chunk << ROW_BITS | at + i for i in range(n)], ids[at : at + n], [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]])
 
-def _new_sets(sets: list[np.ndarray], digests: list[bytes], met: set) -> list[np.ndarray]:
-    """The sets with those that this task has met already made empty."""
-    out = []
-    if len(met) > REMEMBER:
-        met.clear()
-    for s, d in zip(sets, digests, strict=True):
-        out.append(s[:0] if d in met else s)
-        met.add(d)
-    return out
-
+    return run
 
-def _classes(words: int, num: int, den: int):
-    """For each document its class, and fragments of the filters over all signatures."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bands, builder, met = Shingler(words), Bands(num, den), SeenBuilder(), set()
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary()]
-        names = [x.split()[0] for x in FIRST.split(", ")]
+def _ask(words: int, num: int, den: int, space: Space):
+    """Of a chunk: its rows that stand for their class, and how many of these have each signature, by range."""
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def run(chunks: pa.Table, wanted: pa.Table) -> pa.Table:
+        empty = pa.Table.from_batches([_batch(ASKED, kinds, [[], [], [], []])])
+        if not chunks.num_rows or not wanted.num_rows:
+            return empty
+        shingles, bands = Shingler(words), Bands(num, den)
+        chunk, rows = chunks.column("chunk")[0].as_py(), np.sort(wanted.column("uid").to_numpy()) & ((1 << ROW_BITS) - 1)
+        table = opened(chunks.column("blob")[0].as_py()).select(["text"]).take(pa.array(rows)).append_column("row", pa.array(rows))
+        held = []
+        for _, texts in groups(texts_of(table)):
+            found = [sigs[~void] for _, _, _, sigs, void in bands.signatures(shingles(texts))]
+            if found:
+                held.append(np.sort(space.cells(np.concatenate(found))))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        rows_out = [(chunk, TEXTS, pressed(sink.getvalue(), 3), None)]
+        if held:
+            cells, counts = summed(held, [np.ones(len(h), np.int64) for h in held])
+            rows_out += [(chunk, *x) for x in space.fragments(cells, np.minimum(counts, EMPTY).astype(np.uint8))]
+        return pa.Table.from_batches([_batch(ASKED, kinds, [list(c) for c in zip(*rows_out, strict=True)])])
 
-        def rows(*cols) -> pa.RecordBatch:
-            n = max(len(c) for c in cols if c is not None)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c is None else c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+    return run
 
-        for batch in batches:
-            for at, texts in parts(batch):
-                sets = shingles(texts)
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield rows(batch.column("doc_id").slice(at, len(sets)).to_pylist(), [len(s) for s in sets], digests, None, None, None)
-                for _, _, _, sigs, empty in bands.signatures(_new_sets(sets, digests, met)):
-                    if builder.add(sigs[~empty]):
-                        got = builder.take()
-                        yield rows(None, None, None, *(got.column(i) for i in range(3)))
-        if builder.n:
-            got = builder.take()
-            yield rows(None, None, None, *(got.column(i) for i in range(3)))
 
-    return run
+def _answer(asked: pa.Table) -> pa.Table:
+    """For each chunk, those of its cells in this range that more than one set has, and their levels (the logarithms of how many have them)."""
+    cells = [unpacked(b) for b in asked.column("keys").to_pylist()]
+    every, counts = summed(cells, [unwide(b) for b in asked.column("counts").to_pylist()])
+    levels = (np.frexp(counts.astype(float))[1] - 1).astype(np.uint8)
+    rows = []
+    for chunk, r, own in zip(asked.column("chunk").to_pylist(), asked.column("range").to_pylist(), cells, strict=True):
+        level = levels[np.searchsorted(every, own)]
+        if (held := level > 0).any():
+            rows.append((chunk, r, packed(own[held]), wide(level[held])))
+    return pa.Table.from_batches([_batch(ANSWER, [pa.int64(), pa.int32(), pa.binary(), pa.binary()], [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 4)])
 
 
-def _suspects(words: int, num: int, den: int, shared):
+def _suspects(words: int, num: int, den: int, space: Space):
     """Classes that may have a partner: the signatures that have to meet, the parity bitmap and the whole set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bands, twice, met = Shingler(words), Bands(num, den), CellFilter(*shared.value), set()
-        for batch in batches:
-            for _, texts in parts(batch):
+    long = pa.list_(pa.int64())
+    kinds = [pa.int64(), pa.int32(), pa.int64(), long, long, pa.binary()]
+
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        out = [_batch(SECOND, kinds, [[]] * 6)]
+        if chunks.num_rows and answers.num_rows:
+            shingles, bands = Shingler(words), Bands(num, den)
+            answers = answers.sort_by("range")
+            every, levels = _both(answers)
+            chunk, table = chunks.column("chunk")[0].as_py(), opened(chunks.column("keys")[0].as_py())
+            rows = table.column("row").to_pylist()
+            for at, texts in groups(texts_of(table)):
                 sets = shingles(texts)
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 send: dict[int, list[np.ndarray]] = {}
                 own = np.zeros((len(sets), 2), np.int64)
-                for i, segments, t, sigs, empty in bands.signatures(_new_sets(sets, digests, met)):
-                    found = twice.found(sigs) | empty
-                    own[i] += int((~empty).sum()), int(twice.found(sigs[~empty], 1).sum())
+                for i, segments, t, sigs, void in bands.signatures(sets):
+                    cells = space.cells(sigs)
+                    place = np.minimum(np.searchsorted(every, cells), len(every) - 1)
+                    level = np.where(void, np.uint8(EMPTY), np.where(every[place] == cells, levels[place], np.uint8(0)))
+                    found = level > 0
+                    own[i] += int((~void).sum()), int((level[~void] >= OFTEN.bit_length() - 1).sum())
                     if segments < 0:
                         chosen = sigs[found]
                     elif (need := t + 1 - int((~found).sum())) > 0:
                         others = sigs[found]
-                        chosen = others[np.lexsort((others, twice.found(others, 1) + 2 * empty[found]))][:need]
+                        chosen = others[np.lexsort((others, level[found]))][:need]
                     else:
                         continue
                     if len(chosen):
                         send.setdefault(i, []).append(chosen)
                 if send:
-                    yield _held([(_name(digests[i], *own[i].tolist()), len(sets[i]), np.concatenate(x).view(np.int64), _parity(sets[i]), sets[i].tobytes()) for i, x in send.items()])
+                    rare = [min(31, 32 * int(own[i, 0] - own[i, 1]) // max(1, int(own[i, 0]))) for i in send]
+                    out.append(_batch(SECOND, kinds, [[chunk << ROW_BITS | rows[at + i] for i in send], rare, [len(sets[i]) for i in send], [np.concatenate(x).view(np.int64) for x in send.values()], [_parity(sets[i]) for i in send], [sets[i].tobytes() for i in send]]))
+        return pa.Table.from_batches(out)
 
     return run
 
 
-def _held(rows: list[tuple]) -> pa.RecordBatch:
-    long = pa.list_(pa.int64())
-    kinds = [pa.int64(), pa.int64(), long, long, pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["cls", "n", "sigs", "parity", "shingles"])
+def _both(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of a chunk that others have, in their order, and their levels, out of the answers of all ranges."""
+    return np.concatenate([unpacked(b) for b in answers.column("keys").to_pylist()]), np.concatenate([unwide(b) for b in answers.column("levels").to_pylist()]).astype(np.uint8)
 
 
 def _linked(num: int, den: int):
@@ -254,30 +283,32 @@ def _linked(num: int, den: int):
 
 def _verified(pairs: DataFrame, suspects: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of classes that are linked. Bitmaps go first; whole sets only to pairs that pass."""
-    small = suspects.select("cls", "n", "parity").dropDuplicates(["cls"])
-    x = small.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    y = small.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    x = suspects.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    y = suspects.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     differ = F.aggregate(F.zip_with("pa", "pb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
     near = pairs.join(x, "a").join(y, "b").filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (differ * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)))
     near = written(near.select("a", "b"))
-    asked = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = suspects.select("cls", "shingles").join(asked, "cls", "left_semi").dropDuplicates(["cls"])
-    whole = near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sx")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sy")), "b")
-    return written(whole.select("a", "b", "sx", "sy").mapInArrow(_linked(num, den), "a long, b long"))
+    asked = near.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+    sets = suspects.select("uid", "shingles").join(asked, "uid", "left_semi")
+    whole = near.join(sets.select(F.col("uid").alias("a"), F.col("shingles").alias("sx")), "a").join(sets.select(F.col("uid").alias("b"), F.col("shingles").alias("sy")), "b")
+    links = written(whole.select("a", "b", "sx", "sy").mapInArrow(_linked(num, den), "a long, b long"))
+    discard(near)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
     """cls, comp: the smallest class that each class of the links reaches. Labels spread along links and are then shortened."""
     edges = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = written(edges.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("m")).select("cls", F.least("cls", "m").alias("comp")))
-    while True:
+    new = written(edges.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("m")).select("cls", F.col("cls").alias("old"), F.least("cls", "m").alias("comp")))
+    while new.filter("old <> comp").limit(1).count():
+        last, labels = new, new.select("cls", "comp")
         spread = edges.join(labels.select(F.col("cls").alias("b"), "comp"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("heard"))
         heard = labels.join(spread, "cls").select("cls", F.col("comp").alias("old"), F.least("comp", "heard").alias("via"))
         jump = labels.select(F.col("cls").alias("via"), F.col("comp").alias("far"))
         new = written(heard.join(jump, "via", "left").select("cls", "old", F.least("via", F.coalesce("far", "via")).alias("comp")))
-        labels = new.select("cls", "comp")
-        if not new.filter("old <> comp").limit(1).count():
-            return labels
+        discard(last)
+    discard(edges)
+    return new.select("cls", "comp")
 
 
 def _pairs(members: DataFrame, tried: DataFrame | None) -> DataFrame:
@@ -286,11 +317,14 @@ def _pairs(members: DataFrame, tried: DataFrame | None) -> DataFrame:
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def _open_buckets(suspects: DataFrame, comps: DataFrame) -> DataFrame:
-    """sig, cls, comp: the entries of buckets that hold more than one component."""
-    named = suspects.select("cls", "sigs").join(comps, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"), F.explode("sigs").alias("sig"))
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-    return written(named.join(mixed, "sig").select("sig", "cls", "comp").distinct())
+def _open_buckets(entries: DataFrame, comps: DataFrame, known: int) -> DataFrame:
+    """sig, uid, comp: the buckets of more than one component and more than `known` classes, one of those with the same members each."""
+    named = entries.join(comps.withColumnRenamed("cls", "uid"), "uid", "left").select("sig", "uid", F.coalesce("comp", "uid").alias("comp"))
+    mark = F.xxhash64("uid")
+    buckets = named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"), F.bit_xor(mark).alias("m1"), F.sum(F.pmod(mark, F.lit(2**31 - 1))).alias("m2"))
+    buckets = buckets.filter((F.col("lo") != F.col("hi")) & (F.col("n") > known))
+    chosen = buckets.groupBy("n", "m1", "m2", "lo", "hi").agg(F.min("sig").alias("sig")).select("sig")
+    return written(named.join(chosen, "sig"))
 
 
 def _compared(num: int, den: int):
@@ -322,55 +356,66 @@ def _near_in_blocks(open_: DataFrame, suspects: DataFrame, num: int, den: int) -
     """Pairs (x, y) of members of one bucket that may be linked, out of all whose components differ.
 
     Members meet in blocks of about `BLOCK`, and blocks in pairs, so no task holds a large bucket; only
-    pairs that pass are rows. Buckets with the same members are compared once.
+    pairs that pass are rows.
     """
     sizes = open_.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    small = suspects.select("cls", "n", "parity").dropDuplicates(["cls"])
-    x = open_.join(sizes, "sig").withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks").cast("long")).cast("int"))
+    x = open_.join(sizes, "sig").withColumn("mine", F.pmod(F.xxhash64("uid"), F.col("blocks").cast("long")).cast("int"))
     x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     x = x.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other"), "side": F.when(F.col("mine") == F.col("other"), -1).otherwise((F.col("mine") < F.col("other")).cast("int"))})
-    sets = x.groupBy("sig", "i", "j").agg(F.sort_array(F.collect_list(F.struct("cls", "comp", "side"))).alias("members")).filter("size(members) > 1")
-    sets = sets.select("members").dropDuplicates(["members"]).withColumn("block", F.monotonically_increasing_id())
-    each = written(sets).select("block", F.explode("members").alias("m")).select("block", "m.*").join(small, "cls")
-    blocks = each.groupBy("block").agg(F.collect_list(F.struct("cls", "comp", "n", "side", "parity")).alias("members"))
+    member = F.struct(F.col("uid").alias("cls"), "comp", "n", "side", "parity")
+    blocks = x.join(suspects.select("uid", "n", "parity"), "uid").groupBy("sig", "i", "j").agg(F.collect_list(member).alias("members"))
     return blocks.select("members").mapInArrow(_compared(num, den), "x long, y long")
 
 
-def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
-    sc = df.sparkSession.sparkContext
-    source = df.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    first = written(source.mapInArrow(_classes(words, num, den), FIRST))
-    docs = first.filter("cls IS NOT NULL").select("doc_id", "n", "cls")
-    twice = merged(first.filter("blob IS NOT NULL").select("range", "entries", "blob"), cells_per_entry=8, bounds=(2, OFTEN))
-    suspects = written(source.select("text").mapInArrow(_suspects(words, num, den, sc.broadcast(twice.parts())), SECOND))
+def _linked_classes(suspects: DataFrame, num: int, den: int) -> DataFrame:
+    """cls, comp of all classes that have a link."""
     # every member of a bucket against its hub
-    entries = suspects.select("cls", F.explode("sigs").alias("sig"))
-    hubs = entries.groupBy("sig").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).filter("hub <> last").select("sig", "hub")
-    tried = written(_pairs(entries.join(hubs, "sig").select(F.col("cls").alias("x"), F.col("hub").alias("y")), None))
+    entries = written(suspects.select("uid", "rare", F.explode("sigs").alias("sig")))
+    hubs = entries.groupBy("sig").agg(F.min(F.struct("rare", "uid")).alias("hub"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("sig", F.col("hub.uid").alias("hub"))
+    tried = written(_pairs(entries.join(hubs, "sig").select(F.col("uid").alias("x"), F.col("hub").alias("y")), None))
     links = _verified(tried, suspects, num, den)
     comps = components(links)
     # where components still differ: against pivots, of which all buckets with the same members choose the same
-    open_ = _open_buckets(suspects, comps)
+    open_ = _open_buckets(entries.select("sig", "uid"), comps, 2)
+    discard(entries)
     seeds = [int.from_bytes(xxhash.xxh3_64_digest(bytes([i])), "big", signed=True) for i in range(PIVOTS)]
-    pivots = open_.groupBy("sig").agg(*(F.min(F.col("cls").bitwiseXOR(F.lit(k))).alias(f"p{i}") for i, k in enumerate(seeds)))
+    pivots = open_.groupBy("sig").agg(*(F.min(F.col("uid").bitwiseXOR(F.lit(k))).alias(f"p{i}") for i, k in enumerate(seeds)))
     pivots = pivots.select("sig", F.array_distinct(F.array(*(F.col(f"p{i}").bitwiseXOR(F.lit(k)) for i, k in enumerate(seeds)))).alias("pivots"))
-    asked = open_.join(pivots, "sig").groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
-    more = written(_pairs(asked.select(F.col("cls").alias("x"), F.explode("pivots").alias("y")), tried))
-    if more.limit(1).count():
-        tried = tried.union(more)
-        links = links.union(_verified(more, suspects, num, den))
-        comps = components(links)
-        open_ = _open_buckets(suspects, comps)
-    rest = written(_pairs(_near_in_blocks(open_, suspects, num, den), tried))
-    if rest.limit(1).count():
-        comps = components(links.union(_verified(rest, suspects, num, den)))
-    lows = docs.groupBy("cls").agg(F.min("doc_id").alias("low")).withColumn("key", F.expr(KEY))
-    known = lows.join(comps.select(F.col("cls").bitwiseAND(F.lit((1 << NAME_BITS) - 1)).alias("key"), "comp"), "key", "left").select("cls", "low", F.coalesce("comp", "key").alias("comp"))
+    asked = open_.join(pivots, "sig").select(F.col("uid").alias("x"), F.explode("pivots").alias("y"))
+    more = written(_pairs(asked, tried))
+    if not more.limit(1).count():
+        return comps
+    tried = tried.union(more)
+    links = links.union(_verified(more, suspects, num, den))
+    comps = components(links)
+    still = _open_buckets(open_.select("sig", "uid"), comps, 2)
+    discard(open_)
+    rest = written(_pairs(_near_in_blocks(still, suspects, num, den), tried))
+    discard(still)
+    return components(links.union(_verified(rest, suspects, num, den))) if rest.limit(1).count() else comps
+
+
+def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
+    source = df.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    first = written(chunked(source).mapInArrow(_classes(words), FIRST))
+    docs = written(first.filter("uid IS NOT NULL").select("uid", "doc_id", "n", "cls"))
+    chunks = first.filter("blob IS NOT NULL").select("chunk", "bytes", "blob")
+    space = Space.of(text_bytes(chunks))
+    classes = written(docs.groupBy("cls").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("low"), F.max("n").alias("n")))
+    wanted = classes.filter("n > 0").select(F.shiftright("uid", ROW_BITS).alias("chunk"), "uid")
+    asked = written(chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_ask(words, num, den, space), ASKED))
+    discard(first)
+    answers = asked.filter(F.col("range") != TEXTS).groupBy("range").applyInArrow(_answer, ANSWER)
+    texts = asked.filter(F.col("range") == TEXTS).select("chunk", "keys")
+    suspects = written(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(words, num, den, space), SECOND))
+    discard(asked)
+    comps = _linked_classes(suspects, num, den)
+    discard(suspects)
+    known = classes.join(comps.withColumnRenamed("cls", "uid"), "uid", "left").select("cls", "low", F.coalesce("comp", "uid").alias("comp"))
     heads = known.groupBy("comp").agg(F.min("low").alias("component_id"))
     names = written(known.join(heads, "comp").select("cls", "component_id"))
-    out = docs.join(names, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out
+    return docs.join(names, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,25 @@ class WordHasher:
         return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(starts), firsts))
 
 
-def parts(batch: pa.RecordBatch, column: str = "text", rows: int = 256) -> Iterator[tuple[int, list[bytes | None]]]:
-    """The texts of a batch as bytes, some rows at a time, with the first row's place."""
-    for at in range(0, batch.num_rows, rows):
-        yield at, batch.column(column).slice(at, rows).cast(pa.large_binary()).to_pylist()
+#: Texts are worked on so many bytes, and rows, at a time.
+PART_BYTES = 1 << 20
+PART_ROWS = 256
+
+
+def groups(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes | None]]]:
+    """The texts some at a time, about `PART_BYTES` of them, with the first one's place."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or b"")
+        if size >= PART_BYTES or i + 1 - first >= PART_ROWS:
+            yield first, texts[first : i + 1]
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
+
+
+def parts(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes | None]]]:
+    """The texts of a batch as bytes, some at a time, with the first row's place."""
+    for at in range(0, batch.num_rows, PART_ROWS):
+        for i, texts in groups(batch.column(column).slice(at, PART_ROWS).cast(pa.large_binary()).to_pylist()):
+            yield at + i, texts

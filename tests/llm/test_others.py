@@ -146,12 +146,14 @@ def lm_brute(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_words", [10**6, 50])
-def test_base_scores(docs, edge, max_words):
+def folded(df):
+    return df.select("doc_id", "text").withColumn("held_out", F.pmod(lm_score.doc_crc(F.col("doc_id")), F.lit(7)) == 2)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_base_scores(docs, edge, broadcast_bytes):
     for df in (docs(sample(300)), edge):
-        x = df.select("doc_id", "text").withColumn("held_out", F.pmod(lm_score.doc_crc(F.col("doc_id")), F.lit(7)) == 2)
-        model, words = lm_score.train(x.filter("NOT held_out"))
-        got = sorted((tuple(r) for r in lm_score.score(x, model, words, max_words).collect()), key=repr)
+        got = sorted((tuple(r) for r in lm_score.score(folded(df), broadcast_bytes=broadcast_bytes).collect()), key=repr)
         want = lm_brute([(r["doc_id"], r["text"]) for r in df.collect()])
         assert [g[:5] for g in sorted(got, key=lambda g: repr(g[:5]))] == [w[:5] for w in sorted(want, key=lambda w: repr(w[:5]))]
         assert sorted(round(g[5], 6) for g in got) == sorted(round(w[5], 6) for w in want)
@@ -163,71 +165,71 @@ def test_model_is_better_than_words_alone(spark):
     assert out[0] > out[1]
 
 
-def test_counts_of_the_filter(docs):
-    """Quantised counts are never below the level of the true count, and seldom above it."""
-    df = docs(sample(300))
-    model, _ = lm_score.train(df)
-    tokens, pairs = [], Counter()
-    h = lm_score.WordHasher()
-    for r in df.collect():
-        w, _ = h([r["text"].encode()])
-        t = np.append(w, np.uint64(lm_score.END))
-        tokens.append(t)
-        for g in lm_score._ngrams(t, np.array([len(t)]), 2)[1].tolist():
-            pairs[g] += 1
-    keys = np.array(list(pairs), np.uint64)
-    true = np.array(list(pairs.values()), float)
-    got = model.counts(keys, lm_score.start_level(1))
-    floor = np.where(true >= 2, 2.0 ** ((lm_score.level(true) - 1) / 2), 0.0)
-    assert (got >= floor - 1e-9).all() and (got > floor + 1e-9).mean() < 0.05
-
-
-def test_bigrams_seen_once_count(docs):
-    df = docs(sample(300))
-    model, _ = lm_score.train(df)
-    pairs, h = Counter(), lm_score.WordHasher()
-    for r in df.collect():
-        w, _ = h([r["text"].encode()])
-        t = np.append(w, np.uint64(lm_score.END))
-        pairs.update(lm_score._ngrams(t, np.array([len(t)]), 2)[1].tolist())
-    keys, true = np.array(list(pairs), np.uint64), np.array(list(pairs.values()), float)
-    got, level = model.gram_counts(keys), 2.0 ** ((lm_score.level(true) - 1) / 2)
-    assert (true == 1).mean() > 0.3 and (got >= level - 1e-9).all() and (got > level + 1e-9).mean() < 0.05
-    unseen = lm_score.mix(np.arange(20_000, dtype=np.uint64))
-    assert (model.gram_counts(unseen) > 0).mean() < 0.05
-
-
-@pytest.mark.parametrize("max_keys", [0, 3000])
-def test_counts_beyond_the_filter_are_exact(docs, edge, max_keys):
+def test_counts_of_the_filter():
+    """Levels are never below that of the true count, seldom above it, and n-grams that nobody has are seldom found."""
+    r = np.random.default_rng(1)
+    keys = np.unique(r.integers(0, 2**50, 20_000, dtype=np.uint64))
+    true = np.minimum(r.zipf(1.6, len(keys)), 10**9)
+    cells = lm_score.Slice.parse(lm_score.Slice.of(keys, true).raw())
+    got = cells.levels(keys).astype(int)
+    assert (true == 1).mean() > 0.3 and (got >= lm_score.level(true)).all() and (got > lm_score.level(true)).mean() < 0.01
+    assert (cells.levels(r.integers(2**50, 2**51, 100_000, dtype=np.uint64)) > 0).mean() < 0.005
+    full = lm_score.Slice(np.full(8, 255, np.uint8), 9)  # with all bits set the probing ends at the top level
+    assert (full.levels(keys[:9]) == 9).all()
+    assert lm_score.Slice.of(keys[:0], true[:0]).levels(keys).max() == 0
+
+
+def test_levels_stand_for_the_mean_of_their_counts():
+    counts = np.arange(1, 3000)
+    levels = lm_score.level(counts)
+    for lev in np.unique(levels):
+        own = counts[levels == lev]
+        if own[-1] < 2000:
+            assert lm_score.counts_of(np.array([lev]))[0] == own.mean()
+    assert lm_score.counts_of(np.array([0]))[0] == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_like_brute_force(docs, edge, order):
+    """The score of every text by counts of its own, on both ways; only a false hit of the filter may make a difference."""
     for df in (docs(sample(300)), edge):
-        x = df.select("doc_id", "text").withColumn("held_out", F.pmod(lm_score.doc_crc(F.col("doc_id")), F.lit(7)) == 2)
-        model, words = lm_score.train(x.filter("NOT held_out"), max_keys=max_keys)
-        got = sorted((tuple(r) for r in lm_score.score(x, model, words, 50).collect()), key=repr)
-        rows = [(r["doc_id"], [None, *words_of((r["text"] or "").translate(LOW)), None], r["held_out"]) for r in x.collect()]
-        one, two = Counter(), Counter()
+        rows = [(r["doc_id"], [*words_of((r["text"] or "").translate(LOW)), None], r["held_out"]) for r in folded(df).collect()]
+        counts = [Counter() for _ in range(order)]
+        grams = lambda t, k: zip(*([None] * (k - i) + t for i in range(k + 1)))  # n-grams of k + 1 words; None is the end
         for _, t, held in rows:
             if not held:
-                one.update(t[1:])
-                two.update(zip(t, t[1:]))
-        q = lambda c: 2.0 ** (math.floor(2 * math.log2(c) + 1e-9) / 2) if c else 0.0
-        n, v, want = one.total(), len(one), []
-        for doc, t, _ in rows:
+                for k in range(order):
+                    counts[k].update(grams(t, k))
+        q = lambda c: float(lm_score.counts_of(lm_score.level(np.array([c])))[0]) if c else 0.0
+        n, v = counts[0].total(), len(counts[0])
+
+        def score(t, mu, less):
             total = 0.0
-            for a, b in zip(t, t[1:]):
-                c = q(two[a, b])
-                total += math.log10(min(1.0, (c + lm_score.MU * (q(one[b]) + 1) / (n + v + 1)) / (max(q(one[a]), c) + lm_score.MU)))
-            want.append((doc, total))
-        assert len(got) == len(want)
-        slack = 1e-6 if max_keys == 0 else 0.5
-        both = zip(sorted(got, key=lambda g: (repr(g[0]), g[6])), sorted(want, key=lambda w: (repr(w[0]), w[1])), strict=True)
-        assert all(abs(g[6] - w[1]) <= slack + (0.03 * abs(w[1]) if max_keys else 0) for g, w in both)
-        assert model.limit < lm_score.ALL or df is edge
+            for i in range(len(t)):
+                hist = [None] * order + t[: i + 1]
+                p = min(1.0, (max(counts[0][(t[i],)] - less, 0) + 1) / max(1, n - less + v + 1))
+                for k in range(1, order):
+                    gram = tuple(hist[-k - 1 :])
+                    c, before = q(counts[k][gram]), counts[0][gram[:-1]] if k == 1 else q(counts[k - 1][gram[:-1]]) if i else 0.0
+                    p = min(1.0, (max(c - less, 0) + mu * p) / (max(max(c, before) - less, 0) + mu))
+                total += math.log10(p)
+            return total
+
+        best = max(lm_score.GRID, key=lambda mu: (sum(score(t, mu, 1) for _, t, held in rows if not held), -mu))
+        want = sorted((score(t, best, 0) for _, t, _ in rows), reverse=True)
+        for broadcast_bytes in (64 << 20, 0):
+            got = sorted((r["score"] for r in lm_score.score(folded(df), order, broadcast_bytes).collect()), reverse=True)
+            near = sum(abs(a - b) < 1e-6 * max(1, abs(b)) for a, b in zip(got, want, strict=True))
+            assert near >= 0.8 * len(want) and all(abs(a - b) <= 0.02 * max(1, abs(b)) for a, b in zip(got, want, strict=True))
+
+
+def test_both_ways_give_the_same_scores(spark):
+    x = folded(spark.read.parquet(f"{DIR}/documents.parquet"))
+    assert sorted(lm_score.score(x).collect()) == sorted(lm_score.score(x, broadcast_bytes=0).collect())
 
 
 def test_lm_of_nothing(nothing):
-    x = nothing.select("doc_id", "text").withColumn("held_out", F.lit(False))
-    model, words = lm_score.train(x)
-    assert lm_score.score(x, model, words).count() == 0
+    assert lm_score.score(folded(nothing)).count() == 0
 
 
 # ---------------------------------------------------------------- audio
