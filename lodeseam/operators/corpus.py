@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import vocabulary as V
+from ..functions.urls import let
 
 #: Project constants of this repository (nothing outside gives them).
 SPLITS = [("train", 80), ("dev", 10), ("test", 10)]
@@ -109,15 +112,27 @@ def stratified_sample(df: DataFrame, strata: list[str], n: int, seed: str, id_co
     return near.withColumn("_n", F.row_number().over(W.partitionBy(*strata).orderBy("_h", id_col))).filter(F.col("_n") <= n).drop("_n", "_h")
 
 
+def _windows(text: Column, n: int, of: Callable[[Column], Column]) -> Column:
+    """`of` every distinct window of n words; the words are worked out once."""
+    each = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: of(F.slice(w, i, n)))))
+    return let(words(text), each)
+
+
 def ngrams(text: Column, n: int) -> Column:
-    w = words(text)
-    return F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+    """The distinct word n-grams of a text; null if it has fewer words."""
+    return _windows(text, n, lambda w: F.array_join(w, " "))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 8) -> DataFrame:
-    """doc_id, n_shared, n_items: documents that share word n-grams with items of an authorised benchmark."""
+    """doc_id, n_shared, n_items: documents that share word n-grams with items of an authorised benchmark.
+
+    64-bit hashes of n-grams find the documents that may; only their n-grams are compared as texts.
+    """
     marks = benchmark.select("item_id", F.explode(ngrams(F.col("text"), n)).alias("gram"))
-    own = docs.select("doc_id", F.explode(ngrams(F.col("text"), n)).alias("gram"))
+    hashed = lambda t: _windows(t, n, lambda w: F.xxhash64(w))
+    sought = benchmark.select(F.explode(hashed(F.col("text"))).alias("h")).distinct()
+    maybe = docs.select("doc_id", F.explode(hashed(F.col("text"))).alias("h")).join(sought, "h", "left_semi").select("doc_id").distinct()
+    own = docs.join(maybe, "doc_id", "left_semi").select("doc_id", F.explode(ngrams(F.col("text"), n)).alias("gram"))
     return own.join(marks, "gram").groupBy("doc_id").agg(F.count_distinct("gram").alias("n_shared"), F.count_distinct("item_id").alias("n_items"))
 
 

@@ -67,10 +67,11 @@ def link_resolve(spark, sf_dir):
     return _links(spark, sf_dir).select("page_id", "link_idx", "target")
 
 
-@query(f"WITH {_LINKS} SELECT host, count(*) AS n_links, count(*) AS n_in_domain, count(DISTINCT target) AS n_targets FROM targets GROUP BY host")
+@query(f"WITH {_LINKS} SELECT host, count(*) AS n_links, count(*) FILTER (WHERE host = 'example.org' OR ends_with(host, '.example.org')) AS n_in_domain, count(DISTINCT target) AS n_targets FROM targets GROUP BY host")
 def link_domains(spark, sf_dir):
+    """Links by the host of their page, and those of them within one domain."""
     x = _links(spark, sf_dir)
-    return x.groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n_links"), F.count_if(urls.within(F.col("target"), F.col("url"))).alias("n_in_domain"), F.count_distinct("target").alias("n_targets"))
+    return x.groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n_links"), F.count_if(urls.within(F.col("target"), F.lit("https://example.org/"))).alias("n_in_domain"), F.count_distinct("target").alias("n_targets"))
 
 
 @query("""
@@ -154,15 +155,13 @@ def row_violations(spark, sf_dir):
     i = F.col("i")
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("i"))
     cells = {c: F.lit("") for c in V.CATALOG_COLUMNS} | {
-        "doc_id": F.when(i % 11 == 3, "LK-EDU-12").otherwise(text.doc_id(i + 1)), "title": F.when(i % 13 == 5, "  ").otherwise("Title"),
+        "doc_id": F.when(i % 11 == 3, F.concat(F.lit("EDU-"), i)).otherwise(text.doc_id(i + 1)), "title": F.when(i % 13 == 5, "  ").otherwise("Title"),
         "status": F.when(i % 17 == 2, "LOST").otherwise("DISCOVERED"), "document_type": F.lit("other"), "source": F.lit("s"),
         "source_url": F.when(i % 19 == 7, "ftp://x.test/a").otherwise(F.concat(F.lit("https://x.test/"), i)),
         "grade": F.when(i % 29 == 4, "9-8").otherwise("8-9"), "quality_score": F.when(i % 31 == 6, "nan").otherwise("0.5"),
     }
     x = rows.select(*(v.alias(c) for c, v in cells.items()), (i + 2).alias("row_no"))
-    # the repeated invalid id is one of the errors put in, not a second one
-    found = catalog.violations(x).withColumn("errors", F.array_remove("errors", "duplicate doc_id"))
-    return found.select("row_no", F.get("errors", F.lit(0)).alias("first_error"), F.size("errors").alias("n_errors"))
+    return catalog.violations(x).select("row_no", F.get("errors", F.lit(0)).alias("first_error"), F.size("errors").alias("n_errors"))
 
 
 _STATS = """
@@ -314,9 +313,14 @@ def grouped_split(spark, sf_dir):
     return corpus.grouped_split(table(spark, sf_dir, "documents"))
 
 
-@query(f"WITH {_SPLIT} SELECT count(*) AS n_groups_in_two FROM (SELECT group_id FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1)")
+@query(f"""WITH {_SPLIT}, alone AS (SELECT group_id, CASE WHEN h < 80 THEN 'train' WHEN h < 90 THEN 'dev' ELSE 'test' END AS split FROM (SELECT group_id, ('0x' || substr(md5('split:' || doc_id), 1, 6))::BIGINT % 100 AS h FROM splits))
+SELECT group_id, count(DISTINCT split) AS n_splits FROM alone GROUP BY 1 HAVING n_splits > 1
+UNION ALL SELECT -1, count(*) FROM (SELECT group_id FROM splits GROUP BY 1 HAVING count(DISTINCT split) > 1)""")
 def split_overlap(spark, sf_dir):
-    return corpus.split_overlap(corpus.grouped_split(table(spark, sf_dir, "documents"))).agg(F.count(F.lit(1)).alias("n_groups_in_two"))
+    """Groups in two splits when documents are dealt one by one, and (as -1) how many there are when groups are dealt."""
+    splits = corpus.grouped_split(table(spark, sf_dir, "documents"))
+    alone = corpus.split_overlap(splits.withColumn("split", corpus.split_of(F.col("doc_id"), "split")))
+    return alone.unionByName(corpus.split_overlap(splits).agg(F.lit(-1).cast("long").alias("group_id"), F.count(F.lit(1)).alias("n_splits")))
 
 
 @query(f"""WITH {_SPLIT}, hits AS (SELECT DISTINCT d.doc_id FROM {_grams('documents', 'doc_id')} d JOIN {_grams('benchmark', 'item_id')} b USING (g))
@@ -413,3 +417,56 @@ def classify_goldens(spark, sf_dir):
     rows = [("https://school.test/", h, t, "", "", "") for h, t, _ in LINK_CASES]
     x = spark.createDataFrame(rows, "page_url string, href string, text string, title string, before string, after string")
     return links.evaluate_links(x, V.default_taxonomy()).select("href", "text", "accepted")
+
+
+#: What each rule of the decision makes of a link: href, text, before; accepted, score, subject, grade, level, type, reasons, why not.
+DECISIONS = [
+    ("/files/history.pdf", "History textbook", "", True, 14, "History", "", "", "textbook", "direct_document_link +5; configured_subject:History +3; educational_keyword:textbook +2; resource_title +4", ""),
+    ("/teacher-guides/history-grade-11", "Grade 11 History Teacher Guide", "", True, 12, "History", "11", "O-Level", "teacher_guide", "configured_subject:History +3; explicit_grade_or_level:11 +3; educational_keyword:teacher guide +2; resource_title +4", ""),
+    ("/download?id=7", "Past paper 2023 download", "", True, 11, "", "", "", "past_paper", "direct_document_link +5; educational_keyword:past paper +2; resource_title +4", ""),
+    ("/resource", "8 ශ්‍රේණිය ඉතිහාසය", "", True, 8, "History", "8", "Junior Secondary", "other", "configured_subject:History +3; explicit_grade_or_level:8 +3; educational_keyword:resource +2", ""),
+    ("/category/notes.pdf", "Notes", "", True, 4, "", "", "", "lesson", "direct_document_link +5; educational_keyword:notes +2; category_or_listing_page -3", "category/listing page"),
+    ("/item", "Open", "Here is a syllabus", False, 1, "", "", "", "other", "educational_surrounding_text +1", "below candidate threshold"),
+    ("/misc", "Something", "", False, 0, "", "", "", "other", "", "below candidate threshold"),
+    ("/exam-timetable", "Exam timetable", "a syllabus", False, 6, "", "", "", "other", "educational_keyword:exam +2; resource_title +4", "timetable/non-document page"),
+    ("/Paper", "Paper Hub", "", False, -1, "", "", "", "other", "educational_keyword:paper +2; category_or_listing_page -3", "category/listing page"),
+    ("/category/economics", "2024 Economics past papers", "", False, 0, "Economics", "", "", "past_paper", "configured_subject:Economics +3; category_or_listing_page -3", "category/listing page"),
+    ("/", "Welcome", "", False, -3, "", "", "", "other", "category_or_listing_page -3", "category/listing page"),
+    ("/home", "Home", "", False, -4, "", "", "", "other", "navigation_page -4", "navigation"),
+    ("/privacy-policy", "Privacy policy", "", False, -5, "", "", "", "other", "site_infrastructure -5", "site infrastructure"),
+    ("mailto:x@school.test", "Mail", "", False, -999, "", "", "", "other", "", "invalid URL"),
+]
+#: Pages, and what the exact parser has of each link: page, link, href, text, title, before, after, the page's title and text.
+PAGES = [
+    "<title>T &amp; x</title><p>one</p><script>var a = '<a href=z>';</script><template><a href=t>t</a></template><a href=\"/a\" title=\" q \">A <b>b</b></a> after <i>it</i><a href=/b>B<a href=/c>C</a>end",
+    "<p>1</p><p>2</p><p>3</p><p>4</p><p>5</p><p>6</p><p>7</p><a href=x>x</a><style>p</style><p>" + "w" * 100 + "</p><p>" + "v" * 100 + "</p><p>u</p>",
+    "<h1>" + "y" * 290 + "</h1><p>" + "z" * 20 + "</p><a>no target</a><a href=''>empty</a><A HREF='q.pdf'>Q</A>",
+]
+CONTEXTS = [
+    (0, 0, "/a", "A b", "q", "T & x one", "after it", "T & x", "T & x one A b after it B C end"),
+    (0, 1, "/b", "B", "", "T & x one A b after it", "", "T & x", "T & x one A b after it B C end"),
+    (0, 2, "/c", "C", "", "one A b after it B", "end", "T & x", "T & x one A b after it B C end"),
+    (1, 0, "x", "x", "", "2 3 4 5 6 7", "w" * 100 + " " + "v" * 80, "", "1 2 3 4 5 6 7 x " + "w" * 100 + " " + "v" * 100 + " u"),
+    (2, 0, "q.pdf", "Q", "", "y" * 263 + " " + "z" * 20 + " no target empty", "", "", "y" * 290 + " " + "z" * 20 + " no target empty Q"),
+]
+
+
+def _decisions_sql() -> str:
+    cell = lambda x: str(x).upper() if isinstance(x, (bool, int)) else f"'{x}'"
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r[:2] + r[3:])) + ')' for r in DECISIONS)}) t(href, text, accepted, score, subject, grade, education_level, document_type, reasons, rejection_reason)"
+
+
+@query(_decisions_sql())
+def decision_goldens(spark, sf_dir):
+    rows = [("https://school.test/", r[0], r[1], "", r[2], "") for r in DECISIONS]
+    x = spark.createDataFrame(rows, "page_url string, href string, text string, title string, before string, after string")
+    x = links.evaluate_links(x, V.default_taxonomy())
+    return x.select("href", "text", "accepted", "score", "subject", "grade", "education_level", "document_type", F.array_join("reasons", "; ").alias("reasons"), "rejection_reason")
+
+
+@query(f"SELECT * FROM (VALUES {', '.join(repr(r) for r in CONTEXTS)}) t(page_id, link_idx, href, text, title, before, after, page_title, page_text)")
+def context_goldens(spark, sf_dir):
+    """Links with their surroundings, titles and visible texts, by the exact parser."""
+    pages = spark.createDataFrame(list(enumerate(PAGES)), "page_id int, html string").withColumn("url", F.lit("https://school.test/"))
+    texts = pages.select("page_id", html.parsed(F.col("html"))["text"].alias("page_text"))
+    return links.explode_links(pages).filter("link_idx >= 0").join(texts, "page_id").select("page_id", "link_idx", "href", "text", "title", "before", "after", "page_title", "page_text")

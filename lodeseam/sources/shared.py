@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,10 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lodeseam-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local($|\[)", sc.master):  # a folder of the driver alone would lose rows on a cluster
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lodeseam-"))
     path = f"{sc.getCheckpointDir()}/saved-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
