@@ -6,7 +6,7 @@ of documents. Every stage works on all rows that the one before kept.
 * language_id: documents without a letter, or whose two best languages are within a narrow margin, go.
 * line_dedup: a line found in ten documents or more stays only in the one with the smallest id.
   Documents that had words and lose all of them go.
-* near_duplicates: of each component of the n-gram Jaccard join the smallest id stays.
+* near_duplicates: of each component of the n-gram Jaccard join one row stays, that of the smallest id (null ids last).
 * mixing: documents are chosen, or repeated in a second epoch, by the weights of their domain, language and source.
 * packing: the tokens of what is left, in sequences of at most 2048.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeseam.llm import language_id, line_dedup, mixing, ngram_join, packing
-from lodeseam.llm.common import documents, words_of, written
+from lodeseam.llm.common import documents, new_prefix, words_of, written
 
 #: SQL has no zstandard and no tokenizer, so the pipeline is held against a brute-force version in the tests.
 ORACLE_SQL = None
@@ -25,23 +25,17 @@ ORACLE_SQL = None
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(language_id.training_fold(docs))
-    return language_id.identify(docs, model).filter("NOT _rejected").select(*docs.columns)
+    return language_id.identify(docs, model).filter(~F.col(f"{new_prefix(docs)}rejected")).select(*docs.columns)
 
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs, min_docs=10, keep="first")
     left = F.size(words_of(F.col("text"))) > 0
-    return out.filter((F.col("_n_dropped") == 0) | left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.filter((F.col(f"{new_prefix(docs)}n_dropped") == 0) | left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = written(ngram_join.join_components(docs))
-    gone = written(groups.filter("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = written(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    if again.limit(1).count():  # rows that share an id
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+    return ngram_join.one_of_each(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
