@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,15 +16,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one in local mode; an error on a cluster."""
     sc = spark.sparkContext
     got = sc.getCheckpointDir()
     if not got:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lodeseam-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lodeseam-"))
         got = sc.getCheckpointDir()
     return got
 
 
+def new_prefix(df: DataFrame) -> str:
+    """As many _ as no column of `df` begins with, and one at least: columns added under it clash with none."""
+    out = "_"
+    while any(c.startswith(out) for c in df.columns):
+        out += "_"
+    return out
+
+
 def written(df: DataFrame) -> DataFrame:
     """The same rows, read back from Parquet in the shared folder: lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession

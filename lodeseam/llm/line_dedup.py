@@ -14,7 +14,7 @@ Defined cases. A text that is null or empty is one empty line. The empty key (a
 is never a repeat. A line repeated in one document counts once. Each row is a document, also where
 ids or whole rows are equal; null ids come last in the choice of the first. An empty table gives an
 empty result. Columns other than the id and the text are not looked at; `dedup_lines` passes them
-through, whatever their names.
+through, whatever their names, and puts its own under `new_prefix` of them.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, new_prefix, written
 from .seen_filter import FRAGMENT, CellFilter, SeenBuilder, merged
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -109,7 +109,7 @@ def _drop(texts, ids, drop_of) -> Iterator[tuple[int, int, bytes | None]]:
         yield len(lines), len(lines) - len(kept), text if len(kept) == len(lines) else b"\n".join(kept)
 
 
-def _apply(id_col: str, text_col: str, keep_first: bool, digest: bool, confirmed=None, list_col: str | None = None):
+def _apply(id_col: str, text_col: str, keep_first: bool, digest: bool, prefix: str, confirmed=None, list_col: str | None = None):
     """Drops the confirmed lines: `confirmed` holds digests for all rows, or `list_col` those of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,7 @@ def _apply(id_col: str, text_col: str, keep_first: bool, digest: bool, confirmed
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[0] for x in done], pa.int64()), pa.array([x[1] for x in done], pa.int64()), pa.array([hashlib.sha256(x[2] or b"").hexdigest() for x in done], pa.string())], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
             else:
                 cols = {n: batch.column(n) for n in batch.schema.names if n not in (text_col, list_col)}
-                yield pa.RecordBatch.from_pydict({**cols, text_col: pa.array([x[2] for x in done], pa.binary()).cast(pa.string()), "_n_lines": pa.array([x[0] for x in done], pa.int64()), "_n_dropped": pa.array([x[1] for x in done], pa.int64())})
+                yield pa.RecordBatch.from_pydict({**cols, text_col: pa.array([x[2] for x in done], pa.binary()).cast(pa.string()), f"{prefix}n_lines": pa.array([x[0] for x in done], pa.int64()), f"{prefix}n_dropped": pa.array([x[1] for x in done], pa.int64())})
 
     return run
 
@@ -139,17 +139,18 @@ def _apply(id_col: str, text_col: str, keep_first: bool, digest: bool, confirmed
 def _run(df: DataFrame, id_col: str, text_col: str, min_docs: int, keep: str, max_broadcast_keys: int, digest: bool, schema: str) -> DataFrame:
     if keep not in ("none", "first"):
         raise ValueError("keep must be none or first")
-    spark, first = df.sparkSession, keep == "first"
+    spark, first, prefix = df.sparkSession, keep == "first", new_prefix(df)
+    sha, listed = f"{prefix}sha", f"{prefix}found"
     found = written(repeated_lines(df, id_col, text_col, min_docs))
     if found.count() <= max_broadcast_keys:
         known = {xxhash.xxh3_128_digest(bytes(r["key"])): r["first"] for r in found.toLocalIterator()}
-        return df.mapInArrow(_apply(id_col, text_col, first, digest, spark.sparkContext.broadcast(known)), schema)
+        return df.mapInArrow(_apply(id_col, text_col, first, digest, prefix, spark.sparkContext.broadcast(known)), schema)
     text_sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
     own = df.select(text_sha.alias("_sha"), F.col(text_col).alias("text")).mapInArrow(_send_text_keys, "_sha string, key binary")
     lists = own.distinct().join(found, "key").groupBy("_sha").agg(F.collect_list(F.struct(F.col("key"), F.col("first"))).alias("_found"))
     lists = lists.mapInArrow(_digest_lists, "_sha string, _found array<struct<digest:binary,first:long>>")
-    joined = df.withColumn("_sha", text_sha).join(lists, "_sha", "left").drop("_sha")
-    return joined.mapInArrow(_apply(id_col, text_col, first, digest, list_col="_found"), schema)
+    joined = df.withColumn(sha, text_sha).join(lists.toDF(sha, listed), sha, "left").drop(sha)
+    return joined.mapInArrow(_apply(id_col, text_col, first, digest, prefix, list_col=listed), schema)
 
 
 def _send_text_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +171,9 @@ def _digest_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2, keep: str = "first", max_broadcast_keys: int = 300_000) -> DataFrame:
-    """The rows of `df` with repeated lines taken out of the text, and `_n_lines`, `_n_dropped` for each row."""
-    schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*((n, t) for n, t in df.dtypes if n != text_col), (text_col, "string"), ("_n_lines", "long"), ("_n_dropped", "long")])
+    """The rows of `df` with repeated lines taken out of the text, and n_lines, n_dropped for each row under `new_prefix(df)`: mostly `_n_lines`, `_n_dropped`."""
+    prefix = new_prefix(df)
+    schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*((n, t) for n, t in df.dtypes if n != text_col), (text_col, "string"), (f"{prefix}n_lines", "long"), (f"{prefix}n_dropped", "long")])
     return _run(df, id_col, text_col, min_docs, keep, max_broadcast_keys, False, schema)
 
 

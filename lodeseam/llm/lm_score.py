@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .chunks import Space, chunked, opened, summed, text_bytes, texts_of, unpacked, unwide, wide
 from .common import discard, doc_crc, documents, written
-from .tokens import WordHasher, groups, mix
+from .tokens import WordHasher, groups, mix, tidy
 
 ORDER = 2
 GRID = (1.0, 4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 16384.0, 65536.0)
@@ -100,6 +100,7 @@ def _ask(space: Space, order: int):
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 for kind, (keys, counts) in enumerate(_distinct(opened(blob), space, order)):
                     yield _batch(ASKED, kinds, [(chunk, r, kind, cells, note) for r, cells, note in space.fragments(keys, counts, kind == WORDS)])
+                tidy()
 
     return run
 
@@ -186,6 +187,8 @@ def _answer(route: bool):
                 rows += [(c, r, kind, wide(levels[np.searchsorted(every, k)]), None, None) for c, k in zip(chunks, keys, strict=True)]
             else:
                 rows.append((None, r, SLICE, cells.raw(), None, None))
+        del keys, every, counts
+        tidy()
         return pa.Table.from_batches([_batch(ANSWER, kinds, rows)])
 
     return run
@@ -244,6 +247,7 @@ def _scores(space: Space, order: int, n: int, v: int, shared):
                 scores, left = (np.stack([np.add.reduceat(log_probabilities(c, grams, starts, ends, n, v, mu, less), starts) for mu in GRID], 1) for less in (False, True))
                 here = slice(at, at + len(texts))
                 out.append(_batch(SCORED, kinds, list(zip(ids[here], held[here], sizes.tolist(), np.add.reduceat((c > 0).astype(np.int64), starts).tolist(), base.tolist(), scores.tolist(), left.tolist(), strict=True))))
+        tidy()
         return pa.Table.from_batches(out)
 
     return run

@@ -14,7 +14,8 @@ the cut, and so on; only the last cell's documents are sorted. No leaf's rows me
 Defined cases. Null language or source counts as the empty text, which is a leaf of its own; nodes
 without a given weight weigh 1. Null or empty texts have no tokens: they come with each epoch
 they precede the cut in, and a leaf without tokens gives each document once. Rows with equal ids have one place in
-the order, and stand or fall together. Other columns pass through. An empty table gives no rows.
+the order, and stand or fall together. Other columns pass through, whatever their names: those added stand
+under `new_prefix` of them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import documents, words_of, written
+from .common import documents, new_prefix, words_of, written
 
 LEAF = ["_domain", "_lang", "_source"]
 LEVELS = 3
@@ -81,8 +82,10 @@ def budgets(supply: DataFrame, domain_weights: dict, lang_weights: dict, source_
 
 
 def mix(df: DataFrame, domain: Column, domain_weights: dict | None = None, lang_weights: dict | None = None, source_weights: dict | None = None, per_mille: int = 1000, max_epochs: int = 2, seed: int = 0) -> DataFrame:
-    """The chosen rows of `df` (doc_id, text, lang, source and any others), once for each epoch, with `_epoch`, `_tokens` and the leaf."""
-    named = df.withColumns({"_domain": domain, "_lang": F.coalesce("lang", F.lit("")), "_source": F.coalesce("source", F.lit("")), "_tokens": F.size(words_of(F.col("text"))).cast("long")})
+    """The chosen rows of `df` (doc_id, text, lang, source and any others), once for each epoch, with epoch, tokens, domain, lang and source under `new_prefix(df)`: mostly `_epoch` and so on."""
+    prefix = new_prefix(df)
+    whole_row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
+    named = df.select(whole_row, "doc_id", domain.alias("_domain"), F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("source", F.lit("")).alias("_source"), F.size(words_of(F.col("text"))).cast("long").alias("_tokens"))
     rows = written(named.select("doc_id", *LEAF, "_tokens"))
     supply = rows.groupBy(*LEAF).agg(F.sum("_tokens").alias("supply"))
     got = budgets(supply, domain_weights or {}, lang_weights or {}, source_weights or {}, per_mille, max_epochs)
@@ -102,7 +105,8 @@ def mix(df: DataFrame, domain: Column, domain_weights: dict | None = None, lang_
     ends = sums.filter("_upto <= _rest").groupBy(*LEAF).agg(F.max("_h").alias("_end"))
     state = written(state.join(ends, LEAF, "left").select(*LEAF, "_whole", F.coalesce("_end", F.when(F.col("_at") == "-", F.lit("-")).otherwise(F.col("_at"))).alias("_end")))
     chosen = named.join(state, LEAF).withColumn("_part", (F.col("_whole") < max_epochs) & (place <= F.col("_end")))
-    return chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0), (F.col("_whole") - F.when(F.col("_part"), 0).otherwise(1)).cast("int")))).filter("_epoch >= 0 AND (_epoch < _whole OR _part)").drop("_whole", "_end", "_part")
+    chosen = chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0), (F.col("_whole") - F.when(F.col("_part"), 0).otherwise(1)).cast("int")))).filter("_epoch >= 0 AND (_epoch < _whole OR _part)")
+    return chosen.select("_row.*", *(F.col(f"_{c}").alias(prefix + c) for c in ("domain", "lang", "source", "tokens", "epoch")))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .chunks import ROW_BITS, Space, chunked, opened, packed, pressed, summed, text_bytes, texts_of, unpacked, unwide, wide
 from .common import discard, documents, written
-from .tokens import BASE, WordHasher, groups, mix
+from .tokens import BASE, WordHasher, groups, mix, tidy
 
 PIVOTS = 6
 SLACK = 1.5
@@ -176,6 +176,7 @@ def _classes(words: int):
                     sets = shingles(texts)
                     none, n = [None] * len(sets), len(sets)
                     yield _batch(FIRST, kinds, [none, none, none, [chunk << ROW_BITS | at + i for i in range(n)], ids[at : at + n], [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]])
+                tidy()
 
     return run
 
@@ -203,7 +204,10 @@ def _ask(words: int, num: int, den: int, space: Space):
         if held:
             cells, counts = summed(held, [np.ones(len(h), np.int64) for h in held])
             rows_out += [(chunk, *x) for x in space.fragments(cells, np.minimum(counts, EMPTY).astype(np.uint8))]
-        return pa.Table.from_batches([_batch(ASKED, kinds, [list(c) for c in zip(*rows_out, strict=True)])])
+        out = pa.Table.from_batches([_batch(ASKED, kinds, [list(c) for c in zip(*rows_out, strict=True)])])
+        del table, held
+        tidy()
+        return out
 
     return run
 
@@ -218,6 +222,8 @@ def _answer(asked: pa.Table) -> pa.Table:
         level = levels[np.searchsorted(every, own)]
         if (held := level > 0).any():
             rows.append((chunk, r, packed(own[held]), wide(level[held])))
+    del cells, every, counts, levels
+    tidy()
     return pa.Table.from_batches([_batch(ANSWER, [pa.int64(), pa.int32(), pa.binary(), pa.binary()], [list(c) for c in zip(*rows, strict=True)] if rows else [[]] * 4)])
 
 
@@ -256,6 +262,8 @@ def _suspects(words: int, num: int, den: int, space: Space):
                 if send:
                     rare = [min(31, 32 * int(own[i, 0] - own[i, 1]) // max(1, int(own[i, 0]))) for i in send]
                     out.append(_batch(SECOND, kinds, [[chunk << ROW_BITS | rows[at + i] for i in send], rare, [len(sets[i]) for i in send], [np.concatenate(x).view(np.int64) for x in send.values()], [_parity(sets[i]) for i in send], [sets[i].tobytes() for i in send]]))
+            del every, levels, table
+        tidy()
         return pa.Table.from_batches(out)
 
     return run
@@ -395,28 +403,54 @@ def _linked_classes(suspects: DataFrame, num: int, den: int) -> DataFrame:
     return components(links.union(_verified(rest, suspects, num, den))) if rest.limit(1).count() else comps
 
 
-def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
-    source = df.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    first = written(chunked(source).mapInArrow(_classes(words), FIRST))
+def _grouped(df: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks of all rows; uid, doc_id, n, cls of each row; and cls, n, comp, low (the smallest id of each class), uid (its row)."""
+    first = written(chunked(df).mapInArrow(_classes(words), FIRST))
     docs = written(first.filter("uid IS NOT NULL").select("uid", "doc_id", "n", "cls"))
     chunks = first.filter("blob IS NOT NULL").select("chunk", "bytes", "blob")
     space = Space.of(text_bytes(chunks))
-    classes = written(docs.groupBy("cls").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("low"), F.max("n").alias("n")))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid"))
+    classes = written(docs.groupBy("cls").agg(head.alias("head"), F.max("n").alias("n")).select("cls", "n", F.col("head.uid").alias("uid"), F.col("head.doc_id").alias("low")))
     wanted = classes.filter("n > 0").select(F.shiftright("uid", ROW_BITS).alias("chunk"), "uid")
     asked = written(chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_ask(words, num, den, space), ASKED))
-    discard(first)
     answers = asked.filter(F.col("range") != TEXTS).groupBy("range").applyInArrow(_answer, ANSWER)
     texts = asked.filter(F.col("range") == TEXTS).select("chunk", "keys")
     suspects = written(texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_suspects(words, num, den, space), SECOND))
     discard(asked)
     comps = _linked_classes(suspects, num, den)
     discard(suspects)
-    known = classes.join(comps.withColumnRenamed("cls", "uid"), "uid", "left").select("cls", "low", F.coalesce("comp", "uid").alias("comp"))
+    known = classes.join(comps.withColumnRenamed("cls", "uid"), "uid", "left").select("cls", "n", "uid", "low", F.coalesce("comp", "uid").alias("comp"))
+    return chunks, docs, known
+
+
+def join_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) for each row of (doc_id, text)."""
+    chunks, docs, known = _grouped(df.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), words, num, den)
     heads = known.groupBy("comp").agg(F.min("low").alias("component_id"))
     names = written(known.join(heads, "comp").select("cls", "component_id"))
+    discard(chunks)
     return docs.join(names, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _picked(chunks: pa.Table, wanted: pa.Table) -> pa.Table:
+    rows = np.sort(wanted.column("uid").to_numpy()) & ((1 << ROW_BITS) - 1)
+    return opened(chunks.column("blob")[0].as_py()).take(pa.array(rows))
+
+
+def one_of_each(df: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of `df` (doc_id, text and any others): one of each component, and all without words.
+
+    The row with the smallest id stays, null ids come last; among rows of one id it is one of them, so
+    repeated ids and null ids are decided row by row.
+    """
+    chunks, docs, known = _grouped(df.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}), words, num, den)
+    head = F.min(F.struct(F.col("low").isNull().alias("last"), "low", "uid"))
+    kept = known.filter("n > 0").groupBy("comp").agg(head.alias("head")).select(F.col("head.uid").alias("uid")).union(docs.filter("n = 0").select("uid"))
+    wanted = written(kept.select(F.shiftright("uid", ROW_BITS).alias("chunk"), "uid"))
+    held = chunks.select("chunk", "blob").join(wanted.select("chunk").distinct(), "chunk", "left_semi")
+    schema = ", ".join(f"`{n.replace('`', '``')}` {({'doc_id': 'long', 'text': 'string'}).get(n, t)}" for n, t in df.dtypes)
+    return held.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_picked, schema)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(documents(spark, sf_dir))

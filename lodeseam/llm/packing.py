@@ -5,8 +5,9 @@ sequence alone. What matters of the others is their length, so the search works
 of lengths: a bin is a pattern of lengths, and equal bins are one entry with a count. It starts
 from best-fit decreasing, and then improves underfull bins: a piece of the emptiest bin moves into
 another, or goes there in exchange for a shorter one, or two go for one, whichever raises the sum of
-squared fills most, until the emptiest bins are empty, no exchange helps, or the bound of bytes /
-`size` is reached. All of it is bounded by `size`, not by the corpus.
+squared fills most, until the emptiest bins are empty and no exchange of any two bins helps, or the
+bound of tokens / `size` is reached. The sum of squares rises with each exchange, so it ends without a
+limit of steps. Patterns and lengths are bounded by `size`, not by the corpus.
 
 Pieces then get a rank among those of their length (`gapless_rank`), and the plan turns a length
 and a rank into a sequence and an offset.
@@ -38,7 +39,6 @@ CACHE = 900_000
 MARKS = b".,!?;:%*#$&|"
 #: Texts with this mark may name special tokens, whose letter case counts.
 SPECIAL = b"<|"
-STEPS = 400
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 PLACE = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -192,27 +192,32 @@ def _without(bin_: tuple, out: tuple, into: tuple) -> tuple:
     return tuple(sorted(left + list(into), reverse=True))
 
 
-def local_search(bins: Counter, size: int, steps: int = STEPS) -> Counter:
-    """Exchanges between underfull bins while the sum of squared fills rises and bins can still be saved."""
+def local_search(bins: Counter, size: int) -> Counter:
+    """Exchanges between underfull bins while the sum of squared fills rises and bins can still be saved.
+
+    A source that no target helps is tried again with the patterns that have come up since.
+    """
     bins = Counter(bins)
     least = -(-sum(sum(b) * n for b, n in bins.items()) // size)
-    stuck: set[tuple] = set()
-    for _ in range(steps):
-        if bins.total() <= least:
-            break
-        source = min((b for b in bins if sum(b) < size and b not in stuck), key=lambda b: (sum(b), b), default=None)
-        if source is None:
+    born = {b: 0 for b in bins}  # when a pattern came up
+    tried = dict.fromkeys(bins, -1)  # up to when a source's targets have been tried in vain
+    now = 0
+    while bins.total() > least:
+        open_ = sorted((b for b in bins if sum(b) < size), key=lambda b: (-sum(b), b))
+        for source in reversed(open_):
+            best: tuple = (0, (), (), None)
+            for target in open_:
+                if born[target] > tried[source] and (target != source or bins[source] > 1):
+                    got = _exchange(source, target, size)
+                    if got[0] > best[0]:
+                        best = *got, target
+            if best[0]:
+                break
+            tried[source] = now
+        else:
             break
-        best: tuple = (0, (), (), None)
-        for target in sorted(bins, key=lambda b: (-sum(b), b)):
-            if sum(target) < size and (target != source or bins[source] > 1):
-                got = _exchange(source, target, size)
-                if got[0] > best[0]:
-                    best = *got, target
-        gain, give, back, target = best
-        if not gain:
-            stuck.add(source)
-            continue
+        _, give, back, target = best
+        now += 1
         times = bins[source] // 2 if source == target else min(bins[source], bins[target])
         for old in (source, target):
             bins[old] -= times
@@ -220,6 +225,8 @@ def local_search(bins: Counter, size: int, steps: int = STEPS) -> Counter:
                 del bins[old]
         for new in (_without(source, give, back), _without(target, back, give)):
             if new:
+                if new not in bins:
+                    born[new], tried[new] = now, -1
                 bins[new] += times
     return bins
 

@@ -1,5 +1,7 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
+from functools import cache
+
 from . import audio, language_id, line_dedup, lm_score, mixing, ngram_join, packing, quality, sharding, url_filter
 
 QUERIES = {
@@ -14,9 +16,14 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_lm_score": lm_score.op10_lm_score,
 }
-ORACLE = {
-    "op1_line_dedup": line_dedup.SQL,
-    "op2_url_filter": url_filter.oracle(),
-    "op3_mix_sources": mixing.SQL,
-    "op5_quality_rules": quality.SQL,
-}
+
+
+@cache
+def oracle() -> dict[str, str]:
+    """SQL by query; made when asked for, since that of the URL filter has its weights written out."""
+    return {
+        "op1_line_dedup": line_dedup.SQL,
+        "op2_url_filter": url_filter.oracle(),
+        "op3_mix_sources": mixing.SQL,
+        "op5_quality_rules": quality.SQL,
+    }

@@ -7,6 +7,7 @@ doesn't follow the length of texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,8 +74,17 @@ class WordHasher:
         return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(starts), firsts))
 
 
+def tidy() -> None:
+    """Gives memory that a task has freed back to the machine; workers live on, and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 #: Texts are worked on so many bytes, and rows, at a time.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 PART_ROWS = 256
 
 

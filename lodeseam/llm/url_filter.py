@@ -6,8 +6,9 @@ of the URL. Weights are whole thousandths, so that scores are exact sums. Hosts,
 and scores are DataFrame functions; each row is judged alone, without any shuffle.
 
 Defined cases. A null URL, or one without `://`, has an empty host and path, which fit no rule; an
-URL too short for an n-gram is judged by the intercept. Equal URLs get equal verdicts. Columns other
-than page_id and url are not looked at. An empty table gives an empty result.
+URL too short for an n-gram is judged by the intercept. Equal URLs get equal verdicts. Columns of
+the names that are added (host, path, rule, score, verdict) are replaced; others are not looked at. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -13,9 +13,9 @@ from lodeseam.llm import audio, language_id, lm_score, quality, queries, shardin
 DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+@pytest.mark.parametrize("name", sorted(queries.oracle()))
 def test_same_rows_as_duckdb(spark, name):
-    assert_same(queries.QUERIES[name](spark, DIR), queries.ORACLE[name], DIR)
+    assert_same(queries.QUERIES[name](spark, DIR), queries.oracle()[name], DIR)
 
 
 # ---------------------------------------------------------------- language ID
