@@ -28,10 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     return got
 
 
-def new_prefix(df: DataFrame) -> str:
-    """As many _ as no column of `df` begins with, and one at least: columns added under it clash with none."""
-    out = "_"
-    while any(c.startswith(out) for c in df.columns):
+def new_prefix(df: DataFrame, names: tuple[str, ...]) -> str:
+    """One _ or more: with them before the names, columns that are added clash with none of `df`, whatever the letter case."""
+    out, there = "_", {c.lower() for c in df.columns}
+    while any(out + n in there for n in names):
         out += "_"
     return out
 

@@ -37,6 +37,7 @@ LEVEL = 5
 #: In the score, languages are weighed by 2 to the power of minus the bytes that they need more.
 UND = "und"
 ADDED = [("lang_pred", "string"), ("score", "double"), ("margin", "double"), ("rejected", "boolean")]
+NAMES = tuple(n for n, _ in ADDED)
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 400) -> dict[str, bytes]:
@@ -101,8 +102,8 @@ def _predict(shared, text_col: str, min_margin: float, prefix: str):
 
 
 def identify(df: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: float = 0.002) -> DataFrame:
-    """The rows of `df` with lang_pred, score, margin and rejected, their names under `new_prefix(df)`: mostly `_lang_pred` and so on."""
-    prefix = new_prefix(df)
+    """The rows of `df` with lang_pred, score, margin and rejected, their names under `new_prefix(df, NAMES)`: mostly `_lang_pred` and so on."""
+    prefix = new_prefix(df, NAMES)
     schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*df.dtypes, *((prefix + n, t) for n, t in ADDED)])
     shared = df.sparkSession.sparkContext.broadcast(dictionaries)
     return df.mapInArrow(_predict(shared, text_col, min_margin, prefix), schema)

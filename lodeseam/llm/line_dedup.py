@@ -33,6 +33,8 @@ from .seen_filter import FRAGMENT, CellFilter, SeenBuilder, merged
 
 WHITE = b" \t\n\x0b\x0c\r"
 NO_ID = 2**63 - 1
+#: What `dedup_lines` adds, or uses on the way.
+NAMES = ("n_lines", "n_dropped", "sha", "found")
 DIGEST = "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
 
 
@@ -139,7 +141,7 @@ def _apply(id_col: str, text_col: str, keep_first: bool, digest: bool, prefix: s
 def _run(df: DataFrame, id_col: str, text_col: str, min_docs: int, keep: str, max_broadcast_keys: int, digest: bool, schema: str) -> DataFrame:
     if keep not in ("none", "first"):
         raise ValueError("keep must be none or first")
-    spark, first, prefix = df.sparkSession, keep == "first", new_prefix(df)
+    spark, first, prefix = df.sparkSession, keep == "first", new_prefix(df, NAMES)
     sha, listed = f"{prefix}sha", f"{prefix}found"
     found = written(repeated_lines(df, id_col, text_col, min_docs))
     if found.count() <= max_broadcast_keys:
@@ -171,8 +173,8 @@ def _digest_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2, keep: str = "first", max_broadcast_keys: int = 300_000) -> DataFrame:
-    """The rows of `df` with repeated lines taken out of the text, and n_lines, n_dropped for each row under `new_prefix(df)`: mostly `_n_lines`, `_n_dropped`."""
-    prefix = new_prefix(df)
+    """The rows of `df` with repeated lines taken out of the text, and n_lines, n_dropped for each row under `new_prefix(df, NAMES)`: mostly `_n_lines`, `_n_dropped`."""
+    prefix = new_prefix(df, NAMES)
     schema = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [*((n, t) for n, t in df.dtypes if n != text_col), (text_col, "string"), (f"{prefix}n_lines", "long"), (f"{prefix}n_dropped", "long")])
     return _run(df, id_col, text_col, min_docs, keep, max_broadcast_keys, False, schema)
 

@@ -28,6 +28,7 @@ from .common import documents, new_prefix, words_of, written
 
 LEAF = ["_domain", "_lang", "_source"]
 LEVELS = 3
+NAMES = ("domain", "lang", "source", "tokens", "epoch")
 #: The weights of the query; what isn't named here weighs 1.
 DOMAIN_WEIGHTS = {"crawl": 40, "books": 30, "news": 20, "forums": 10}
 LANG_WEIGHTS = {"en": 6, "de": 2, "fr": 2, "es": 1}
@@ -82,8 +83,8 @@ def budgets(supply: DataFrame, domain_weights: dict, lang_weights: dict, source_
 
 
 def mix(df: DataFrame, domain: Column, domain_weights: dict | None = None, lang_weights: dict | None = None, source_weights: dict | None = None, per_mille: int = 1000, max_epochs: int = 2, seed: int = 0) -> DataFrame:
-    """The chosen rows of `df` (doc_id, text, lang, source and any others), once for each epoch, with epoch, tokens, domain, lang and source under `new_prefix(df)`: mostly `_epoch` and so on."""
-    prefix = new_prefix(df)
+    """The chosen rows of `df` (doc_id, text, lang, source and any others), once for each epoch, with epoch, tokens, domain, lang and source under `new_prefix(df, NAMES)`: mostly `_epoch` and so on."""
+    prefix = new_prefix(df, NAMES)
     whole_row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")
     named = df.select(whole_row, "doc_id", domain.alias("_domain"), F.coalesce("lang", F.lit("")).alias("_lang"), F.coalesce("source", F.lit("")).alias("_source"), F.size(words_of(F.col("text"))).cast("long").alias("_tokens"))
     rows = written(named.select("doc_id", *LEAF, "_tokens"))
@@ -106,7 +107,7 @@ def mix(df: DataFrame, domain: Column, domain_weights: dict | None = None, lang_
     state = written(state.join(ends, LEAF, "left").select(*LEAF, "_whole", F.coalesce("_end", F.when(F.col("_at") == "-", F.lit("-")).otherwise(F.col("_at"))).alias("_end")))
     chosen = named.join(state, LEAF).withColumn("_part", (F.col("_whole") < max_epochs) & (place <= F.col("_end")))
     chosen = chosen.withColumn("_epoch", F.explode(F.sequence(F.lit(0), (F.col("_whole") - F.when(F.col("_part"), 0).otherwise(1)).cast("int")))).filter("_epoch >= 0 AND (_epoch < _whole OR _part)")
-    return chosen.select("_row.*", *(F.col(f"_{c}").alias(prefix + c) for c in ("domain", "lang", "source", "tokens", "epoch")))
+    return chosen.select("_row.*", *(F.col(f"_{c}").alias(prefix + c) for c in NAMES))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ For each host (here: the source) the documents are counted that hold each line.
 `min_docs` documents and more than `per_mille` thousandths of the host's documents are removed, and
 a document that keeps fewer than `min_words` words, or less than half of its own, is rejected
 (`cleaned` returns the texts without these lines, `judge` the verdicts alone).
-A host's list of such lines is at most 1000 / `per_mille` times its mean lines a document.
+A host's list of such lines is at most 1000 / `per_mille` times its mean lines a document; all lists are
+broadcast up to `BROADCAST_LINES` lines in all, and joined by line and text beyond.
 
 All of it is DataFrame functions. Repeated five-word windows are found within each row by sorting
 64-bit hashes, so words are never shuffled; across documents only line hashes are, counted for each
@@ -49,7 +50,7 @@ def _base(df: DataFrame) -> DataFrame:
     x = x.withColumn("_at", F.sort_array(F.transform(same, lambda p: p["i"])))
     covered = F.aggregate(F.transform("_at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("_at", i + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda t, v: t + v)
     return x.select(
-        "doc_id", "host", "text",
+        "doc_id", "host", "text", "frequent",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.translate(text, SPACE, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
@@ -68,24 +69,37 @@ def _normal_lines(text: Column) -> Column:
     return F.filter(F.transform(lines, lambda s: F.btrim(s, F.lit(SPACE))), lambda s: s != "")
 
 
+def _hashes(text: Column) -> Column:
+    return F.transform(_normal_lines(text), lambda s: F.xxhash64(s))
+
+
 def frequent_lines(df: DataFrame, min_docs: int, per_mille: int) -> DataFrame:
-    """host, frequent: the hashes of each host's frequent lines."""
-    keys = df.select("host", F.explode(F.array_distinct(F.transform(_normal_lines(F.col("text")), lambda s: F.xxhash64(s)))).alias("h"))
+    """host, h: the hashes of each host's frequent lines."""
+    keys = df.select("host", F.explode(F.array_distinct(_hashes(F.col("text")))).alias("h"))
     often = written(keys.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
     hosts = written(df.groupBy("host").agg(F.count(F.lit(1)).alias("docs")))
-    return written(often.join(hosts, "host").filter(F.col("n") * 1000 > F.col("docs") * per_mille).groupBy("host").agg(F.collect_list("h").alias("frequent")))
+    return written(often.join(hosts, "host").filter(F.col("n") * 1000 > F.col("docs") * per_mille).select("host", "h"))
+
+
+def _with_frequent(df: DataFrame, often: DataFrame, broadcast_lines: int) -> DataFrame:
+    """Adds `frequent`: the frequent lines that a row may have, or null.
+
+    A short list goes to all workers, by host. Beyond that the distinct lines of each distinct text meet the
+    list by (host, line), and what is found goes back to the text by its hash, so no task needs a whole host.
+    """
+    if often.count() <= broadcast_lines:
+        return df.join(F.broadcast(often.groupBy("host").agg(F.collect_list("h").alias("frequent"))), "host", "left")
+    keyed = df.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    own = keyed.select("host", "_sha", F.explode(F.array_distinct(_hashes(F.col("text")))).alias("h")).distinct()
+    found = own.join(often, ["host", "h"]).groupBy("host", "_sha").agg(F.collect_list("h").alias("frequent"))
+    return keyed.join(found, ["host", "_sha"], "left").drop("_sha")
 
 
-def cleaned(df: DataFrame, min_docs: int = MIN_DOCS, per_mille: int = PER_MILLE, min_words: int = MIN_WORDS) -> DataFrame:
+def cleaned(df: DataFrame, min_docs: int = MIN_DOCS, per_mille: int = PER_MILLE, min_words: int = MIN_WORDS, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """doc_id, text without the frequent lines, the counts (of the whole text), base_failed and kept for each row of (doc_id, text, host)."""
     df = df.select("doc_id", "text", F.coalesce("host", F.lit("")).alias("host"))
-    frequent = frequent_lines(df, min_docs, per_mille)
-    held = frequent.agg(F.sum(F.size("frequent"))).first()[0] or 0
-    if held <= BROADCAST_LINES:
-        frequent = F.broadcast(frequent)
-    x = _base(df).join(frequent, "host", "left")
-    hashes = F.transform(_normal_lines(F.col("text")), lambda s: F.xxhash64(s))
-    x = x.withColumn("_hits", F.when(F.col("frequent").isNotNull(), F.array_intersect(hashes, "frequent")))
+    x = _base(_with_frequent(df, frequent_lines(df, min_docs, per_mille), broadcast_lines))
+    x = x.withColumn("_hits", F.when(F.col("frequent").isNotNull(), F.array_intersect(_hashes(F.col("text")), "frequent")))
     rest = F.array_join(F.filter(F.split("text", "\n"), lambda s: ~F.array_contains("_hits", F.xxhash64(_normal(s)))), "\n")
     x = x.withColumn("text", F.when(F.size("_hits") > 0, rest).otherwise(F.col("text")))
     x = x.withColumn("_left", F.when(F.size("_hits") > 0, F.size(words_of(F.col("text")))).otherwise(F.col("n_words")))

@@ -44,6 +44,17 @@ def test_edges(edge, nothing):
     assert ngram_join.join_components(nothing).count() == 0
 
 
+def test_one_of_each(docs, edge, nothing):
+    """One row of each component stays with all its columns: repeated ids and null ids are decided row by row."""
+    w = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(w), " ".join(w[:-1] + ["x"]), " ".join(reversed(w))
+    rows = [(5, a, "en", "s", 1), (3, b, "de", "s", 2), (3, c, "fr", "s", 3), (None, a, "es", "s", 4), (None, None, None, None, 5), (7, "", "en", "s", 6), (8, "", "en", "s", 7), (None, c, None, "t", 8)]
+    assert sorted(r["n_chars"] for r in ngram_join.one_of_each(docs(rows)).collect()) == [2, 3, 5, 6, 7]
+    kept = ngram_join.one_of_each(edge)
+    assert kept.columns == edge.columns and kept.count() == 9
+    assert ngram_join.one_of_each(nothing).count() == 0
+
+
 def test_many_near_copies(docs):
     base = [f"w{i}" for i in range(120)]
     rows = []

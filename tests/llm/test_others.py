@@ -18,8 +18,27 @@ def test_same_rows_as_duckdb(spark, name):
     assert_same(queries.QUERIES[name](spark, DIR), queries.oracle()[name], DIR)
 
 
+def test_added_names_never_clash(docs):
+    """Columns of the very names that operators add pass through unchanged."""
+    from lodeseam.llm import line_dedup, mixing
+
+    names = ["_score", "_lang_pred", "_n_lines", "_n_dropped", "_sha", "_found", "_tokens", "_epoch", "_domain", "_lang", "_source", "_row", "__score", "__SHA"]
+    df = docs(sample(40)).withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names})
+    model = language_id.train(df)
+    for out, added in [(language_id.identify(df, model), ["___lang_pred", "___rejected"]), (line_dedup.dedup_lines(df), ["___n_lines"]), (line_dedup.dedup_lines(df, max_broadcast_keys=0), ["___n_dropped"]), (mixing.mix(df, F.lit("d"), max_epochs=1), ["__tokens", "__epoch", "__lang"])]:
+        assert set(added) <= set(out.columns) and out.columns[: len(df.columns)] == df.columns or set(df.columns) <= set(out.columns)
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in out.collect() for n in names)
+
+
 # ---------------------------------------------------------------- language ID
 
+def test_dictionaries_come_from_whole_texts(docs):
+    """Pieces of every place of the sampled texts, and as many languages as there are."""
+    rows = [(i, " ".join(f"{'a' if k < 2000 else 'z'}{k}" for k in range(4000)), f"l{i % 500}", "s", 1) for i in range(500)]
+    got = language_id.train(docs(rows))
+    assert len(got) == 500 and all(b" z" in d and b" a" in d and len(d) <= language_id.DICT_BYTES for d in got.values())
+
+
 def test_language_accuracy(spark):
     out = language_id.op9_language_id(spark, "/root/testdata/sf0.01").filter("held_out")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -131,6 +150,16 @@ def test_a_group_larger_than_a_shard_is_split(docs):
     assert max(sizes.values()) < 1.25 * min(sizes.values())
 
 
+# ---------------------------------------------------------------- quality beyond the broadcast bound
+
+def test_long_lists_of_frequent_lines(docs, edge):
+    """Lists that aren't broadcast give the same rows."""
+    for df in (docs(sample(300)), edge):
+        df = df.select("doc_id", "text", F.col("source").alias("host"))
+        few, many = (sorted(map(tuple, quality.cleaned(df, 2, 10, 3, broadcast_lines=n).collect()), key=repr) for n in (10**6, 0))
+        assert few == many and (df.count() < 300 or any("\n" in r[1] for r in few if r[1]))
+
+
 # ---------------------------------------------------------------- LM scoring
 
 def lm_brute(rows):

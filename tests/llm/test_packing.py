@@ -63,6 +63,16 @@ def test_search_empties_bins():
     assert packing.local_search(start, 10).total() < start.total()
 
 
+def test_search_reaches_what_best_fit_does_not():
+    """Lengths on which best fit leaves a gap that the exchanges close in part."""
+    r = np.random.default_rng(0)
+    r.integers(0, 60, 20_000)
+    lengths = Counter((600 + 400 * r.random(120)).astype(int).tolist())
+    start = packing.best_fit(lengths, 2048)
+    found = packing.local_search(start, 2048)
+    assert found.total() < start.total()
+
+
 def test_plan_places_every_rank():
     bins = Counter({(5, 5): 3, (5, 3, 2): 4})
     plan = packing.Plan(bins)
