@@ -25,13 +25,13 @@ ORACLE_SQL = None
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(language_id.training_fold(docs))
-    return language_id.identify(docs, model).filter(~F.col(f"{new_prefix(docs)}rejected")).select(*docs.columns)
+    return language_id.identify(docs, model).filter(~F.col(f"{new_prefix(docs, language_id.NAMES)}rejected")).select(*docs.columns)
 
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs, min_docs=10, keep="first")
     left = F.size(words_of(F.col("text"))) > 0
-    return out.filter((F.col(f"{new_prefix(docs)}n_dropped") == 0) | left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.filter((F.col(f"{new_prefix(docs, line_dedup.NAMES)}n_dropped") == 0) | left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
