@@ -32,9 +32,9 @@ def download_queue(catalog: DataFrame, pilots: DataFrame) -> DataFrame:
 
 
 def detected_type(content: Column) -> Column:
-    """pdf, zip, html or unknown by the first bytes."""
+    """pdf, zip, html or unknown by the first bytes; white space may stand before HTML."""
     head = F.hex(F.substring(content, 1, 4))
-    text = F.lower(F.substring(F.ltrim(F.decode(F.substring(content, 1, 256), "ISO-8859-1")), 1, 14))
+    text = F.lower(F.substring(F.regexp_replace(F.decode(F.substring(content, 1, 256), "ISO-8859-1"), r"^\s+", ""), 1, 14))
     return F.when(head == "25504446", "pdf").when(F.startswith(head, F.lit("504B0304")), "zip").when(F.startswith(text, F.lit("<!doctype html")) | F.startswith(text, F.lit("<html")), "html").otherwise("unknown")
 
 

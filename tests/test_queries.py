@@ -1,6 +1,7 @@
 import pytest
 from oracle import assert_same
 
+import lodeseam.plans.goldens  # noqa: F401
 from lodeseam.plans.queries import ORACLE, QUERIES
 
 DIR = "/root/testdata/sf0.001"
