@@ -92,6 +92,59 @@ def parsed(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse(x or "") for x in html], columns=["title", "text", "links"])
 
 
+BLOCK = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("level", T.IntegerType()), T.StructField("text", T.StringType())]))
+#: Elements whose texts are blocks of their own, and those that aren't content.
+BLOCK_TAGS = {**{f"h{i}": ("heading", i) for i in range(1, 7)}, "li": ("item", 0), "p": ("paragraph", 0), "td": ("cell", 0), "th": ("cell", 0), "blockquote": ("quote", 0), "pre": ("code", 0)}
+SITE_TAGS = (*HIDDEN, "nav", "header", "footer", "aside", "form", "title")
+
+
+class _Blocks(HTMLParser):
+    """The blocks of a page: a text belongs to the innermost block that is open, or is a paragraph."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.blocks: list[tuple[str, int, list[str]]] = []
+        self.open: list[str] = []
+        self.outside = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in SITE_TAGS:
+            self.outside += 1
+        elif tag in BLOCK_TAGS:
+            self.open.append(tag)
+            depth = self.open.count("li") if tag == "li" else BLOCK_TAGS[tag][1]
+            self.blocks.append((BLOCK_TAGS[tag][0], depth, []))
+        elif tag in ("div", "section", "ul", "ol", "table", "br"):
+            self.blocks.append(("paragraph", 0, []))
+
+    def handle_endtag(self, tag):
+        if tag in SITE_TAGS:
+            self.outside = max(0, self.outside - 1)
+        elif tag in self.open:
+            while self.open.pop() != tag:
+                pass
+            self.blocks.append(("paragraph", 0, []))
+
+    def handle_data(self, data):
+        if not self.outside and data.strip():
+            if not self.blocks:
+                self.blocks.append(("paragraph", 0, []))
+            self.blocks[-1][2].append(data)
+
+
+def content_blocks(html: str) -> list[dict]:
+    """The headings (with their level), list items (with their depth), paragraphs and cells of a page, without navigation."""
+    parser = _Blocks()
+    parser.feed(html)
+    made = ((kind, level, " ".join("".join(parts).split())) for kind, level, parts in parser.blocks)
+    return [{"kind": kind, "level": level, "text": text} for kind, level, text in made if text]
+
+
+@F.pandas_udf(BLOCK)
+def blocks(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: content_blocks(x or ""))
+
+
 def context(link: Column) -> Column:
     """All that is known of a link as one text."""
     return F.array_join(F.filter(F.array(link["text"], link["title"], link["before"], link["after"]), lambda x: x != ""), " ")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import vocabulary as V
+from ..functions.text import composed
 from ..functions.urls import let
 
 #: Project constants of this repository (nothing outside gives them).
@@ -26,6 +27,15 @@ def clean(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda s: s != ""), "\n")
 
 
+def cleaned(df: DataFrame) -> DataFrame:
+    """Adds cleaned and transforms (what was done: nfc, white_space, empty_lines) to rows with a text; the text itself stays."""
+    nfc = df.withColumn("_nfc", composed(F.col("text")))
+    squeezed = F.array_join(F.transform(F.split("_nfc", "\n"), lambda s: F.trim(F.regexp_replace(s, r"[ \t\r\f]+", " "))), "\n")
+    done = nfc.withColumn("_squeezed", squeezed).withColumn("cleaned", clean(F.col("_nfc")))
+    steps = [("nfc", F.col("_nfc") != F.col("text")), ("white_space", F.col("_squeezed") != F.col("_nfc")), ("empty_lines", F.col("cleaned") != F.col("_squeezed"))]
+    return done.withColumn("transforms", F.array_compact(F.array(*(F.when(on, name) for name, on in steps)))).drop("_nfc", "_squeezed")
+
+
 def download_queue(catalog: DataFrame, pilots: DataFrame) -> DataFrame:
     """DISCOVERED rows with a URL that aren't pilots."""
     return catalog.filter("status = 'DISCOVERED' AND source_url <> ''").join(pilots.select("doc_id"), "doc_id", "left_anti")
@@ -79,6 +89,21 @@ def repeated_lines(df: DataFrame, min_docs: int, id_col: str = "doc_id") -> Data
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
 
 
+def without_repeated_lines(df: DataFrame, min_docs: int, id_col: str = "doc_id") -> DataFrame:
+    """Adds kept_text and removed, array<struct<at, line>>: the repeated lines that were taken out, with their places.
+
+    Documents that have repeated lines get the list of theirs; no list of all lines is held anywhere.
+    """
+    trimmed = F.transform(F.split("text", "\n"), lambda s: F.trim(s))
+    own = df.select(id_col, F.explode(F.array_distinct(trimmed)).alias("line")).join(repeated_lines(df, min_docs, id_col).select("line"), "line")
+    x = df.join(own.groupBy(id_col).agg(F.collect_set("line").alias("_found")), id_col, "left").withColumn("_found", F.coalesce("_found", F.array().cast("array<string>")))
+    numbered = F.transform(F.split("text", "\n"), lambda s, i: F.struct(i.alias("at"), F.trim(s).alias("line"), s.alias("raw")))
+    x = x.withColumn("_lines", numbered)
+    kept = F.transform(F.filter("_lines", lambda p: ~F.array_contains("_found", p["line"])), lambda p: p["raw"])
+    gone = F.transform(F.filter("_lines", lambda p: F.array_contains("_found", p["line"])), lambda p: F.struct(p["at"].alias("at"), p["line"].alias("line")))
+    return x.withColumns({"kept_text": F.array_join(kept, "\n"), "removed": gone}).drop("_found", "_lines")
+
+
 def quality_gate(df: DataFrame) -> DataFrame:
     """doc_id, accepted, reasons: several measures of each text, each with its reason."""
     t = F.col("text")
@@ -112,6 +137,13 @@ def stratified_sample(df: DataFrame, strata: list[str], n: int, seed: str, id_co
     return near.withColumn("_n", F.row_number().over(W.partitionBy(*strata).orderBy("_h", id_col))).filter(F.col("_n") <= n).drop("_n", "_h")
 
 
+def sampled_share(sample: DataFrame, strata: list[str], hit: Column) -> DataFrame:
+    """For each stratum of a sample (with stratum_size): n, share of hits, and its standard error for a sample without replacement."""
+    x = sample.groupBy(*strata).agg(F.count(F.lit(1)).alias("n"), F.max("stratum_size").alias("stratum_size"), F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("share"))
+    left = F.when(F.col("stratum_size") > 1, (F.col("stratum_size") - F.col("n")) / (F.col("stratum_size") - 1)).otherwise(0.0)
+    return x.withColumn("standard_error", F.sqrt(F.col("share") * (1 - F.col("share")) / F.col("n") * left))
+
+
 def _windows(text: Column, n: int, of: Callable[[Column], Column]) -> Column:
     """`of` every distinct window of n words; the words are worked out once."""
     each = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: of(F.slice(w, i, n)))))
@@ -163,6 +195,11 @@ def latest_events(events: DataFrame, key: str, ts: str, value: str) -> DataFrame
     return events.groupBy(key).agg(last, F.count(F.lit(1)).alias("n_events")).select(key, F.col(f"m.{value}").alias("last_value"), F.col(f"m.{ts}").alias("last_ts"), "n_events")
 
 
+def stage_runs(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Adds fresh: whether a stage has to run, i.e. no event before has the same input hash, stage and version (the keys)."""
+    return events.withColumn("fresh", F.row_number().over(W.partitionBy(*keys).orderBy(*order)) == 1)
+
+
 def allowed_transitions() -> list[tuple[str, str]]:
     """Each state to the next; any working state to its failure; failures back to the state before."""
     steps = list(zip(V.LIFECYCLE, V.LIFECYCLE[1:], strict=False))
@@ -183,6 +220,13 @@ def evaluation(rows: DataFrame, group: str, correct: Column) -> DataFrame:
     return each.agg(F.sum("n").alias("n"), F.round(F.sum("hits") / F.sum("n"), 9).alias("accuracy"), F.round(F.avg(F.col("hits") / F.col("n")), 9).alias("macro_accuracy"))
 
 
+def paired_change(before: DataFrame, after: DataFrame, id_col: str, correct: str) -> DataFrame:
+    """One row: n items in both runs, gained (wrong, then right), lost, and the change of accuracy."""
+    both = before.select(id_col, F.col(correct).alias("_b")).join(after.select(id_col, F.col(correct).alias("_a")), id_col)
+    x = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_a") & ~F.col("_b")).alias("gained"), F.count_if(F.col("_b") & ~F.col("_a")).alias("lost"))
+    return x.withColumn("change", F.round(F.try_divide(F.col("gained") - F.col("lost"), F.col("n")), 9))
+
+
 def precision_recall(rows: DataFrame, accepted: Column, positive: Column) -> DataFrame:
     x = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(accepted).alias("accepted"), F.count_if(positive).alias("positives"), F.count_if(accepted & positive).alias("true_positives"), F.count_if(accepted == positive).alias("correct"))
     return x.withColumns({"precision": F.round(F.try_divide("true_positives", "accepted"), 9), "recall": F.round(F.try_divide("true_positives", "positives"), 9)})
@@ -218,6 +262,11 @@ def release_manifest(docs: DataFrame, splits: DataFrame, overlap: DataFrame, see
     return joined.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text")).alias("n_chars"), *(F.count_if(F.col("split") == s).alias(f"n_{s}") for s, _ in SPLITS), F.count_if("_hit").alias("n_overlap"), digest.alias("content_sum"), F.lit(seed).alias("seed"))
 
 
+def file_hashes(files: DataFrame) -> DataFrame:
+    """name, bytes, sha256 of each file of a `binaryFile` table, for a release's manifest."""
+    return files.select(F.substring_index("path", "/", -1).alias("name"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
 def model_manifest(models: DataFrame, max_parameters: int, cutoff: str) -> DataFrame:
     """One row: summed parameters, whether they are few enough, and whether all were released before the cutoff."""
     return models.agg(F.sum("parameters").alias("parameters"), (F.sum("parameters") <= max_parameters).alias("size_ok"), F.bool_and(F.col("release_date") < F.lit(cutoff).cast("date")).alias("dates_ok"))

@@ -10,6 +10,7 @@ import json
 import logging
 import sys
 import uuid
+from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
 
@@ -20,6 +21,7 @@ from ..functions import urls
 from ..functions import vocabulary as V
 from ..operators import crawl, links
 from ..sources import catalog, config
+from ..sources import pages as fetched
 from ..sources.shared import saved
 from ..streaming import audit
 
@@ -31,16 +33,42 @@ def run_id() -> str:
     return f"{datetime.now(UTC):%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:8]}"
 
 
-def decisions(spark: SparkSession, pages: DataFrame, sources: DataFrame, taxonomy: dict, limits: dict) -> tuple[DataFrame, DataFrame]:
+def file_log(folder: str, name: str) -> logging.Handler:
+    """The log of a run as a file of its own, beside the console's."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    handler = logging.FileHandler(Path(folder, f"discovery_{name}.log"), encoding="utf-8")
+    handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+    log.addHandler(handler)
+    log.setLevel(min(log.getEffectiveLevel(), logging.INFO))
+    return handler
+
+
+def taken(pages: DataFrame, sources: DataFrame) -> DataFrame:
+    """url, html of a table of fetched pages (url, final_url, content_type, body): those that may be read, under their own and their final URL."""
+    if "html" in pages.columns:
+        return pages.select("url", "html")
+    starts = sources.select(urls.normalize(F.col("base_url")).alias("base_url")).distinct()
+    based = pages.withColumn("_u", urls.normalize(F.col("url"))).join(F.broadcast(starts), urls.within(F.col("_u"), F.col("base_url"))).drop("_u")
+    good, _ = fetched.html_pages(based)
+    return good.select(F.explode(F.array_distinct(F.array("final_url", urls.normalize(F.col("url"))))).alias("url"), "html")
+
+
+def decisions(spark: SparkSession, pages: DataFrame, sources: DataFrame, taxonomy: dict, limits: dict, robots: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(decisions, visited): every evaluated link of every page reached from the sources' base URLs.
 
-    `pages` has url and html. Links are parsed once; the crawl runs over their resolved targets.
+    `pages` has url and html. Links are parsed once; the crawl runs over their resolved targets, those that
+    `robots` (origin, status, body) denies left out. A page is a request, so max_requests bounds pages too.
     """
     starts = sources.select(F.col("id").alias("source"), urls.normalize(F.col("base_url")).alias("url"))
     named = pages.withColumn("url", urls.normalize(F.col("url"))).dropDuplicates(["url"])
     parsed = saved(links.explode_links(named.select("url", "html")))
     edges = parsed.filter("link_idx >= 0").select("url", "link_idx", urls.resolve(F.col("url"), F.col("href")).alias("target")).filter("target <> ''")
-    visited = saved(crawl.crawl_levels(spark, starts, edges, limits["max_depth"], limits["max_pages_per_source"]))
+    if robots is not None:
+        rules = saved(crawl.robots_rules(robots, fetched.AGENT))
+        denied = crawl.robots_allowed(edges.select("target").distinct(), rules, "target").filter("NOT robots_ok").select("target")
+        edges = saved(edges.join(denied, "target", "left_anti").select("url", "link_idx", "target"))
+        starts = saved(crawl.robots_allowed(starts, rules).filter("robots_ok").drop("robots_ok"))
+    visited = saved(crawl.crawl_levels(spark, starts, edges, limits["max_depth"], min(limits["max_pages_per_source"], limits["max_requests"])))
     seen = visited.join(parsed, "url").withColumnRenamed("url", "page_url").withColumnRenamed("source", "source_id")
     based = seen.join(starts.select(F.col("source").alias("source_id"), F.col("url").alias("base")), "source_id")
     out = links.evaluate_links(based, taxonomy)
@@ -67,18 +95,22 @@ def candidates(firsts: DataFrame, sources: DataFrame) -> DataFrame:
     return numbered.withColumn("seq", catalog.text.doc_number(F.col("doc_id"))).drop("doc_id", "_order")
 
 
-def run(spark: SparkSession, pages: DataFrame, source_list: list[dict], taxonomy: dict, catalog_path: str, out_dir: str, source_id: str | None = None, dry_run: bool = False, limits: dict | None = None) -> dict:
-    """The whole run; the summary is returned and written as JSON. Decisions are written before the catalog is."""
+def run(spark: SparkSession, pages: DataFrame, source_list: list[dict], taxonomy: dict, catalog_path: str, out_dir: str, source_id: str | None = None, dry_run: bool = False, limits: dict | None = None, robots: DataFrame | None = None, decision_sink: Callable[[DataFrame], None] | None = None) -> dict:
+    """The whole run; the summary is returned and written as JSON. Decisions are written, and given to `decision_sink`, before the catalog is."""
     limits = {**V.DEFAULT_LIMITS, **(limits or {})}
     crawl.check_limits(limits)
     name = run_id()
     summary = {"schema_version": V.RUN_SCHEMA, "run_id": name, "dry_run": dry_run, "limits": limits, "started_at_utc": datetime.now(UTC).isoformat(), "outcome": "failed", "exit_code": 2, "sources": []}
+    handler = file_log(out_dir, name)
     try:
         chosen = crawl.eligibility(crawl.select_source(config.sources_table(spark, source_list), source_id))
         old = catalog.read_catalog(spark, catalog_path)
         good = saved(chosen.filter("skip_reason IS NULL"))
-        decided, visited = decisions(spark, pages, good, taxonomy, limits)
+        pages = taken(pages, good)
+        decided, visited = decisions(spark, pages, good, taxonomy, limits, robots)
         audit.write_records(audit.decision_records(decided, name), f"{out_dir}/decisions")
+        if decision_sink:
+            decision_sink(decided)
         stats, firsts = source_stats(decided, visited, pages, good)
         found = saved(candidates(firsts, good))
         fresh = saved(catalog.new_candidates(found, old))
@@ -96,6 +128,9 @@ def run(spark: SparkSession, pages: DataFrame, source_list: list[dict], taxonomy
     except (ValueError, OSError, catalog.CatalogError) as problem:
         log.error("the run failed: %s", problem)
         summary |= {"error": str(problem), "outcome": "failed", "exit_code": 2}
+    log.info("run %s ended: outcome=%s exit_code=%s candidates_to_add=%s", name, summary["outcome"], summary["exit_code"], summary.get("candidates_to_add", 0))
+    log.removeHandler(handler)
+    handler.close()
     summary["finished_at_utc"] = datetime.now(UTC).isoformat()
     Path(out_dir).mkdir(parents=True, exist_ok=True)
     Path(out_dir, f"{name}.summary.json").write_text(json.dumps(summary, ensure_ascii=False, indent=2, default=str) + "\n", encoding="utf-8")
@@ -114,6 +149,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("pages", "sources", "subjects", "catalog", "out"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--source", help="only this source")
+    p.add_argument("--robots", help="a table of robots files: origin, status, body")
     for flag, name in (("--max-pages", "max_pages_per_source"), ("--max-depth", "max_depth"), ("--max-queue", "max_queue"), ("--max-requests", "max_requests"), ("--max-retries", "max_retries")):
         p.add_argument(flag, dest=name, type=int, default=V.DEFAULT_LIMITS[name])
     for flag, name in (("--delay", "request_delay_seconds"), ("--timeout", "timeout_seconds"), ("--max-seconds", "max_seconds"), ("--max-retry-wait", "max_retry_wait")):
@@ -132,7 +168,8 @@ def main(args: list[str] | None = None) -> int:
         log.error("%s", problem)
         return 2
     spark = SparkSession.builder.getOrCreate()
-    return run(spark, spark.read.parquet(a.pages), source_list, taxonomy, a.catalog, a.out, a.source, a.dry_run, limits)["exit_code"]
+    robots = spark.read.parquet(a.robots) if a.robots else None
+    return run(spark, spark.read.parquet(a.pages), source_list, taxonomy, a.catalog, a.out, a.source, a.dry_run, limits, robots)["exit_code"]
 
 
 if __name__ == "__main__":

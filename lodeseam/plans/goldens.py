@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from ..functions import text, urls
+from ..functions import html, text, urls
 from ..functions import vocabulary as V
 from ..operators import corpus, crawl, links
 from ..sources import catalog, config, pages
@@ -135,8 +135,66 @@ def first_decision_counts(spark, sf_dir):
     return crawl.excluded_counts(crawl.first_decisions(x, F.lit(SITE), ["seq"]))
 
 
+@query("""
+WITH n AS (SELECT doc_id, t, nfc_normalize(t) AS c FROM (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN chr(10) || 'e' || chr(769) || ' 5  km' WHEN 1 THEN chr(10) || ' ' WHEN 2 THEN ' not\t0.5 ' ELSE '' END AS t FROM documents)),
+s AS (SELECT *, array_to_string(list_transform(string_split(c, chr(10)), lambda s: trim(regexp_replace(s, '[ \t\r\f]+', ' ', 'g'))), chr(10)) AS q FROM n),
+f AS (SELECT *, coalesce(array_to_string(list_filter(string_split(q, chr(10)), lambda s: s <> ''), chr(10)), '') AS r FROM s)
+SELECT doc_id, md5(r) AS cleaned_md5, array_to_string(list_filter([CASE WHEN c <> t THEN 'nfc' END, CASE WHEN q <> c THEN 'white_space' END, CASE WHEN r <> q THEN 'empty_lines' END], lambda x: x IS NOT NULL), ',') AS transforms FROM f""")
+def clean_log(spark, sf_dir):
+    """[O7] Conservative cleaning with a record of what was done; texts get decomposed letters, units and white space put on."""
+    k = F.col("doc_id") % 4
+    more = F.when(k == 0, "\ne\u0301 5  km").when(k == 1, "\n ").when(k == 2, " not\t0.5 ").otherwise("")
+    x = corpus.cleaned(table(spark, sf_dir, "documents").select("doc_id", F.concat("text", more).alias("text")))
+    return x.select("doc_id", F.md5("cleaned").alias("cleaned_md5"), F.array_join("transforms", ",").alias("transforms"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, i, raw, trim(raw) AS line FROM (SELECT doc_id, unnest(ls) AS raw, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+o AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT doc_id) >= 3), x AS (SELECT l.*, line IN (SELECT line FROM o) AS gone FROM l)
+SELECT doc_id, md5(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_md5, coalesce(string_agg(i::VARCHAR, ',' ORDER BY i) FILTER (WHERE gone), '') AS removed_at FROM x GROUP BY doc_id""")
+def boilerplate_removal(spark, sf_dir):
+    """[O8] Lines of three documents or more taken out, with their places as evidence."""
+    x = corpus.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), 3)
+    return x.select("doc_id", F.md5("kept_text").alias("kept_md5"), F.array_join(F.transform("removed", lambda p: p["at"].cast("string")), ",").alias("removed_at"))
+
+
+@query("""
+WITH s AS (SELECT doc_id, lang, n_chars, count(*) OVER (PARTITION BY lang) AS t, row_number() OVER (PARTITION BY lang ORDER BY md5('share:' || doc_id), doc_id) AS k FROM documents)
+SELECT lang, n, stratum_size, round(p, 9) AS share, round(sqrt(p * (1 - p) / n * CASE WHEN stratum_size > 1 THEN (stratum_size - n) / (stratum_size - 1) ELSE 0 END), 9) AS standard_error
+FROM (SELECT lang, count(*) AS n, max(t) AS stratum_size, avg((n_chars >= 1000)::INT) AS p FROM s WHERE k <= 20 GROUP BY lang)""")
+def sample_uncertainty(spark, sf_dir):
+    """[O13] Shares in a stratified sample, with their standard errors."""
+    x = corpus.stratified_sample(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), ["lang"], 20, "share")
+    out = corpus.sampled_share(x, ["lang"], F.col("n_chars") >= 1000)
+    return out.select("lang", "n", "stratum_size", F.round("share", 9).alias("share"), F.round("standard_error", 9).alias("standard_error"))
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type, event_id % 3 ORDER BY ts, event_id) = 1 AS fresh FROM events")
+def stage_idempotency(spark, sf_dir):
+    """[O19] Stage events that repeat an input, stage and version needn't run."""
+    x = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", (F.col("event_id") % 3).alias("version"))
+    return corpus.stage_runs(x, ["user_id", "event_type", "version"], ["ts", "event_id"]).select("event_id", "fresh")
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE a AND NOT b) AS gained, count(*) FILTER (WHERE b AND NOT a) AS lost, round((count(*) FILTER (WHERE a AND NOT b) - count(*) FILTER (WHERE b AND NOT a)) / count(*), 9) AS change FROM (SELECT quality = 1 AS b, doc_id % 3 <> 0 AS a FROM labels WHERE doc_id % 5 <> 0)")
+def paired_accuracy_change(spark, sf_dir):
+    """[O20] Items that two runs judge differently."""
+    x = table(spark, sf_dir, "labels")
+    return corpus.paired_change(x.select("doc_id", (F.col("quality") == 1).alias("ok")), x.filter("doc_id % 5 <> 0").select("doc_id", (F.col("doc_id") % 3 != 0).alias("ok")), "doc_id", "ok")
+
+
 # ---------------------------------------------------------------- values worked out by hand
 
+BLOCK_PAGE = "<title>T</title><nav><a>Menu</a></nav><header>Top</header><h1>Unit <b>1</b></h1>Intro<p>One &amp; two</p><ul><li>a<ul><li>b</li></ul></li><li>c</li></ul><h3>Next</h3><table><tr><th>k</th><td>v</td></tr></table><script>x()</script><footer>End</footer>"
+BLOCKS = [(0, "heading", 1, "Unit 1"), (1, "paragraph", 0, "Intro"), (2, "paragraph", 0, "One & two"), (3, "item", 1, "a"), (4, "item", 2, "b"), (5, "item", 1, "c"), (6, "heading", 3, "Next"), (7, "cell", 0, "k"), (8, "cell", 0, "v")]
+
+
+@query(values(BLOCKS, "i, kind, level, text"))
+def content_block_goldens(spark, sf_dir):
+    """[O4] Headings, lists, paragraphs and cells of a page, without its navigation."""
+    x = spark.createDataFrame([(BLOCK_PAGE,)], "html string").select(F.posexplode(html.blocks(F.col("html"))).alias("i", "b"))
+    return x.select("i", "b.kind", "b.level", "b.text")
+
 ROBOTS = [("http://a.test", 200, "# c\nUser-agent: *\nDisallow: /private # all\nAllow: /\n\nUser-agent: lode\nDisallow: /x\n"), ("http://b.test", 404, ""), ("http://c.test", 403, ""), ("http://d.test", 503, ""), ("http://e.test", 200, "User-agent: *\nDisallow:\n"), ("http://f.test", 410, "")]
 ASKED = [
     ("other/1", "http://a.test/private/1", False), ("other/1", "http://a.test/x", True), ("other/1", "http://a.test/", True), ("lodeseam/1", "http://a.test/x", False), ("lodeseam/1", "http://a.test/private/1", True),
@@ -155,11 +213,12 @@ def robots_goldens(spark, sf_dir):
 
 FETCHED = [
     ("a", f"{SITE}a", "text/html; charset=utf-8", "<p>é", ""), ("b", "https://other.test/", "text/html", "", "external_redirect"), ("c", SITE, "application/pdf", "", "non_html"),
-    ("d", f"{SITE}d", " Application/XHTML+xml ", "ok", ""), ("e", SITE, None, None, "network_error"),
+    ("d", f"{SITE}d", " Application/XHTML+xml ", "ok", ""), ("e", SITE, None, None, "network_error"), ("f", f"{SITE}f", "text/html; Charset='utf-16-le'", "o\0k\0", ""),
+    ("g", f"{SITE}g", "text/html; charset=no-such", "x", "page_read_error"), ("h", f"{SITE}h", "text/html; charset=ascii", "é", "page_read_error"),
 ]
 
 
-@query(values([(u, f, h if not f else "") for u, _, _, h, f in FETCHED], "url, failure, html"))
+@query(values([(u, f, h.replace("\0", "") if not f else "") for u, _, _, h, f in FETCHED], "url, failure, html"))
 def fetched_goldens(spark, sf_dir):
     """[A5, K2, L5, L6] Which fetched pages are taken, and why the others aren't."""
     x = spark.createDataFrame(FETCHED, "url string, final_url string, content_type string, body string, want string").drop("want").withColumns({"body": F.col("body").cast("binary"), "base_url": F.lit(SITE)})
@@ -191,7 +250,7 @@ def crawl_goldens(spark, sf_dir):
 
 SCALARS = [
     ("last_segment", "https://x.test/a/b.pdf?q=1", "b.pdf"), ("origin", "https://x.test:81/a?b", "https://x.test:81"), ("squeezed", "  a \t b ", "a b"), ("looks_educational", "https://x.test/a.pdf", "true"),
-    ("looks_educational", "https://x.test/about", "false"), ("looks_educational", "https://x.test/Physics-notes", "true"), ("retry_after", "7", "7.0"), ("retry_after", "Mon, 01 Jan 2024 00:01:00 GMT", "60.0"), ("retry_after", "Sun, 31 Dec 2023 00:01:00 GMT", "0.0"),
+    ("looks_educational", "https://x.test/about", "false"), ("looks_educational", "https://x.test/Physics-notes", "true"), ("retry_after", "7", "7.0"), ("retry_after", "Mon, 01 Jan 2024 00:01:00 GMT", "60.0"), ("retry_after", "Sun, 31 Dec 2023 00:01:00 GMT", "0.0"), ("retry_after", "Monday, 01-Jan-24 00:02:00 GMT", "120.0"), ("retry_after", "Mon Jan  1 00:00:30 2024", "30.0"),
     ("positive_int", "007", "true"), ("positive_int", "0", "false"), ("finite", "Infinity", "false"), ("finite", "1e3", "true"), ("grade_range", "8-9", "true"), ("grade_range", "9-8", "false"), ("doc_number", "LK-EDU-000012", "12"), ("doc_number", "LK-EDU-12", ""), ("unquoted", "a%20b", "a b"),
 ]
 

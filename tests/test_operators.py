@@ -202,6 +202,39 @@ def test_discovery_run(spark, tmp_path):
     assert bad["exit_code"] == 2 and "zz" in bad["error"]
 
 
+def test_run_over_fetched_pages_with_robots(spark, tmp_path):
+    """Robots files, rejected bodies, charsets and redirects hold in a run; a sink gets the decisions, and the log is a file."""
+    path = tmp_path / "documents.csv"
+    write_catalog(path, [OLD])
+    page = lambda u, body, final=None, kind="text/html": (u, final or u, kind, bytearray(body.encode("latin-1")))
+    rows = [page(SITE, "<a href='/caf\xe9'>Science workbook</a><a href='/old'>a</a><a href='/private/x'>b</a><a href='/bad'>c</a>", kind="text/html; charset=iso-8859-1"), page(SITE + "old", "<a href='/files/history.pdf'>History textbook</a>", SITE + "new"), page(SITE + "private/x", "<a href='/files/secret.pdf'>Secret textbook</a>"), page(SITE + "bad", "<a href='/files/bad.pdf'>Bad textbook \xe9</a>")]
+    table = spark.createDataFrame(rows, "url string, final_url string, content_type string, body binary")
+    robots = spark.createDataFrame([(SITE.rstrip("/"), 200, "User-agent: *\nDisallow: /private\n")], "origin string, status int, body string")
+    sources = config.check_sources({"sources": [{"id": "a", "name": "A", "base_url": SITE, "enabled": True, "verified": True}]})
+    seen = []
+    done = discover.run(spark, table, sources, V.default_taxonomy(), str(path), str(tmp_path / "out"), robots=robots, decision_sink=lambda df: seen.extend(r["target"] for r in df.collect()))
+    assert done["outcome"] == "partial" and SITE + "files/history.pdf" in seen and SITE + "caf%C3%A9" in seen
+    assert SITE + "files/secret.pdf" not in seen and SITE + "files/bad.pdf" not in seen
+    assert "outcome=partial" in next((tmp_path / "out").glob("discovery_*.log")).read_text()
+    few = discover.run(spark, table, sources, V.default_taxonomy(), str(path), str(tmp_path / "few"), dry_run=True, limits={"max_requests": 1})
+    assert few["totals"]["pages_visited"] == 1
+
+
+def test_connector_stays_on_its_site_and_budget():
+    assert pages.same_site("https://a.school.test/x", SITE) and pages.same_site("http://school.test/", SITE)
+    assert not pages.same_site("https://school.test.evil.net/", SITE) and not pages.same_site("ftp://school.test/", SITE)
+    assert pages.seconds_asked(" 7 ") == 7 and pages.seconds_asked("soon") == 0 and pages.seconds_asked("Mon, 01 Jan 2001 00:00:00 GMT") == 0
+    reader = pages._Reader({"urls": SITE, "max_requests": "2"})
+    assert [reader._charge() for _ in range(3)] == [True, True, False]
+    assert list(pages._Reader({"max_requests": "0"}).read(pages._Part([SITE]))) == [(SITE, SITE, None, None, None)]
+
+
+def test_file_hashes(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    rows = corpus.file_hashes(spark.read.format("binaryFile").load(str(tmp_path))).collect()
+    assert [(r["name"], r["bytes"], r["sha256"][:8]) for r in rows] == [("a.bin", 3, "ba7816bf")]
+
+
 def test_fetched_pages(spark):
     big = bytearray(b"x" * 2_000_001)
     rows = [("a", SITE + "a", "text/html; charset=utf-8", bytearray(b"<p>"), SITE), ("b", "https://other.test/", "text/html", bytearray(b""), SITE), ("c", SITE, "application/pdf", bytearray(b""), SITE), ("d", SITE, "text/html", big, SITE), ("e", SITE, None, None, SITE)]
