@@ -17,7 +17,7 @@ of a corpus are one cell with a probability below 1/256 each, and operators must
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -78,9 +78,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def chunked(df: DataFrame) -> DataFrame:
-    """chunk, bytes (of text, and one a row), blob: the rows of `df`, which has a column text, in chunks. To be written once: the numbers of chunks hold for the written table."""
-    return df.mapInArrow(_pack, CHUNK)
+def chunked(df: DataFrame, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, schema: str = CHUNK) -> DataFrame:
+    """chunk, bytes (of text, and one a row), blob: the rows of `df`, which has a column text, in chunks. To be written once: the numbers of chunks hold for the written table.
+
+    `then` makes rows of `schema` of the chunks, in the same worker.
+    """
+    return df.mapInArrow((lambda batches: then(_pack(batches))) if then else _pack, schema)
 
 
 class Space(NamedTuple):

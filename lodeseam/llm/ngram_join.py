@@ -405,7 +405,7 @@ def _linked_classes(suspects: DataFrame, num: int, den: int) -> DataFrame:
 
 def _grouped(df: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Chunks of all rows; uid, doc_id, n, cls of each row; and cls, n, comp, low (the smallest id of each class), uid (its row)."""
-    first = written(chunked(df).mapInArrow(_classes(words), FIRST))
+    first = written(chunked(df, _classes(words), FIRST))
     docs = written(first.filter("uid IS NOT NULL").select("uid", "doc_id", "n", "cls"))
     chunks = first.filter("blob IS NOT NULL").select("chunk", "bytes", "blob")
     space = Space.of(text_bytes(chunks))

@@ -49,7 +49,7 @@ def shard(df: DataFrame, n_shards: int = 16) -> DataFrame:
     total = groups.agg(F.sum("b"), F.sum("t"), F.sum("n")).first()
     whole = [max(1, x or 0) for x in total]
     large = F.greatest(*(F.col(c) * UNITS / x for c, x in zip("btn", whole, strict=True))) > 1
-    heavy = groups.filter(large).select("key", "b", "t", "n").collect()
+    heavy = sorted(groups.filter(large).select("key", "b", "t", "n").collect(), key=lambda r: bytes(r["key"]))
     cells = {r["cell"]: r for r in groups.filter(~large).groupBy("cell").agg(*(F.sum(c).alias(c) for c in "btn")).collect()}
     units, owner = [], []
     for r in heavy:

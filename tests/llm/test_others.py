@@ -32,6 +32,26 @@ def test_added_names_never_clash(docs):
 
 # ---------------------------------------------------------------- language ID
 
+def test_predictions_like_brute_force(spark):
+    """Language, score and rejection of each text, from sizes that plain compressors give."""
+    import zstandard
+
+    df = spark.read.parquet(f"{DIR}/documents.parquet")
+    model = language_id.train(language_id.training_fold(df))
+    coders = {k: zstandard.ZstdCompressor(level=5, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False) for k, d in model.items()}
+    close = 0
+    for r in language_id.identify(df, model).collect():
+        text = r["text"].lower().encode()
+        size = {k: sum(len(c.compress(text[i : i + 1024])) for i in range(0, len(text), 1024)) for k, c in coders.items()}
+        best, second = sorted(size.values())[:2]
+        if any(c.isalpha() for c in r["text"]):
+            assert size[r["_lang_pred"]] <= best + 2 and r["_rejected"] == (second == best or (second - best) / second < 0.002) or abs(second - best) < 3
+            close += size[r["_lang_pred"]] == best
+        else:
+            assert r["_lang_pred"] == "und" and r["_rejected"]
+    assert close > 0.9 * df.count()
+
+
 def test_dictionaries_come_from_whole_texts(docs):
     """Pieces of every place of the sampled texts, and as many languages as there are."""
     rows = [(i, " ".join(f"{'a' if k < 2000 else 'z'}{k}" for k in range(4000)), f"l{i % 500}", "s", 1) for i in range(500)]
@@ -144,6 +164,33 @@ def test_shards(docs, edge, nothing):
     assert sharding.shard(nothing).count() == 0
 
 
+def test_placement_like_brute_force(docs):
+    """Every document's shard, from a plain version of the packing: heavy groups by themselves, the others by cells of their hash."""
+    import hashlib
+
+    rows, n = sample(1500), 4
+    groups = {}
+    for _, t, *_ in rows:
+        g = groups.setdefault(hashlib.md5(t.encode()).digest(), [0, 0, 0, t])
+        for i, x in enumerate((len(t.encode()) + 1, len(words_of(t)), 1)):
+            g[i] += x
+    whole = [sum(g[i] for g in groups.values()) for i in range(3)]
+    cell = lambda key: int.from_bytes(key[:2], "big") % 4096
+    heavy = [k for k in sorted(groups) if max(groups[k][i] * 1024 / whole[i] for i in range(3)) > 1]
+    units = [[groups[k][i] / whole[i] for i in range(3)] for k in heavy] + [[0.0] * 3 for _ in range(4096)]
+    for k in set(groups) - set(heavy):
+        for i in range(3):
+            units[len(heavy) + cell(k)][i] += groups[k][i] / whole[i]
+    left, where = [[1 / n] * 3 for _ in range(n)], {}
+    for u in sorted(range(len(units)), key=lambda u: -max(units[u])):  # sorting keeps the order of ties
+        where[u] = max(range(n), key=lambda s: sum(a * b for a, b in zip(units[u], left[s])))
+        left[where[u]] = [a - b for a, b in zip(left[where[u]], units[u])]
+    want = {g[3]: where[heavy.index(k)] if k in heavy else where[len(heavy) + cell(k)] for k, g in groups.items()}
+    texts = {i: t for i, t, *_ in rows}
+    got = sharding.shard(docs(rows), n).collect()
+    assert len(heavy) > 10 and sum(want[texts[r["doc_id"]]] == r["shard"] for r in got) >= 0.99 * len(got)  # sums of floats may settle a near tie otherwise
+
+
 def test_a_group_larger_than_a_shard_is_split(docs):
     rows = sample(400) + [(10_000 + i, "the same text " * 30, "en", "s", 1) for i in range(900)]
     _, sizes = shards(docs(rows))
