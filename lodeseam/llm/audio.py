@@ -222,7 +222,9 @@ def melodies(df: DataFrame, every: int = 50, max_error: float = SAME_MELODY) ->
     others = F.filter("m", lambda x: x["id"] != F.col("query")).alias("others")
     found = every.select("query", F.col("first.id").alias("match"), F.col("first.offset").alias("offset"), F.col("first.bit_error").alias("bit_error"), others)
     named = prints.join(classes.select("digest", "class_id"), "digest").withColumn("query", F.when(F.col("again").isNotNull(), F.col("class_id")))
-    return named.join(found, "query", "left").select(F.col("id").alias("vec_id"), F.size("ints").cast("long").alias("n_ints"), F.crc32("digest").alias("print_crc32"), "class_id", "match", "offset", "bit_error", "others")
+    # rows that ask nothing stay out of the join: they would all meet under the null key
+    asked = named.filter("query IS NOT NULL").join(found, "query", "left").unionByName(named.filter("query IS NULL"), allowMissingColumns=True)
+    return asked.select(F.col("id").alias("vec_id"), F.size("ints").cast("long").alias("n_ints"), F.crc32("digest").alias("print_crc32"), "class_id", "match", "offset", "bit_error", "others")
 
 
 def op4_audio_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
