@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, gapless_rank, written
+from .tokens import tidy
 
 SIZE = 2048
 END = 0
-CACHE = 900_000
+CACHE = 400_000
 MARKS = b".,!?;:%*#$&|"
 #: Texts with this mark may name special tokens, whose letter case counts.
 SPECIAL = b"<|"
@@ -132,6 +133,7 @@ def _pieces(file: str, size: int, keep_ids: bool):
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 n = 6 if keep_ids else 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols[:n], kinds[:n], strict=True)], names=names[:n])
+            tidy()
 
     return run
 
