@@ -151,9 +151,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--source", help="only this source")
     p.add_argument("--robots", help="a table of robots files: origin, status, body")
     for flag, name in (("--max-pages", "max_pages_per_source"), ("--max-depth", "max_depth"), ("--max-queue", "max_queue"), ("--max-requests", "max_requests"), ("--max-retries", "max_retries")):
-        p.add_argument(flag, dest=name, type=int, default=V.DEFAULT_LIMITS[name])
+        own = name in ("max_queue", "max_retries")
+        p.add_argument(flag, dest=name, type=int, default=V.DEFAULT_LIMITS[name], help="of the connector, or of exact crawls of one source" if own else None)
     for flag, name in (("--delay", "request_delay_seconds"), ("--timeout", "timeout_seconds"), ("--max-seconds", "max_seconds"), ("--max-retry-wait", "max_retry_wait")):
-        p.add_argument(flag, dest=name, type=float, default=V.DEFAULT_LIMITS[name])
+        p.add_argument(flag, dest=name, type=float, default=V.DEFAULT_LIMITS[name], help="of the connector that fetches pages; recorded in the summary of a run over a table")
     p.add_argument("--dry-run", action="store_true")
     return p
 
