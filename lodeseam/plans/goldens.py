@@ -131,8 +131,10 @@ def first_decision_counts(spark, sf_dir):
     t = F.col("l_partkey") % 300
     x = table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") % 20).alias("source_id"), (F.col("l_quantity") >= 25).alias("accepted"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
-        F.get(reasons, (F.col("l_suppkey") % 4).cast("int")).alias("rejection_reason"), F.concat(F.when(t % 10 == 0, "https://other.test/").otherwise(SITE), t).alias("target"))
-    return crawl.excluded_counts(crawl.first_decisions(x, F.lit(SITE), ["seq"]))
+        F.get(reasons, (F.col("l_suppkey") % 4).cast("int")).alias("rejection_reason"), F.concat(F.when(t % 10 == 0, "https://other.test/").otherwise(SITE), t).alias("target"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # orders repeat their line numbers: among rows of one seq the first of the table goes first
+    return crawl.excluded_counts(crawl.first_decisions(x, F.lit(SITE), ["seq", "file", "row"]))
 
 
 @query("""
