@@ -8,8 +8,9 @@ at one place make one packed 32-bit integer.
 A query and a recording are aligned by the histogram of their offsets: at each offset (those at which
 less than half of the query overlaps don't count) the equal bits of the integers that meet are its votes,
 so that noise that leaves no integer whole loses no pair. The peak is the offset, and the share of bits that differ there
-says how alike the two are; all pairs within `max_error` are returned. Queries go to the workers in blocks; the
-work is queries times recordings, a stated query set against all rows. Recordings with equal fingerprints are one class; the index and the queries hold classes
+says how alike the two are; all pairs within `max_error` are returned. Pairs whose projections on a few directions are
+too far apart can't be within it and aren't compared bit by bit; none that is within it is left out. Queries go to the
+workers in blocks; the work is queries times recordings, a stated query set against all rows. Recordings with equal fingerprints are one class; the index and the queries hold classes
 only, so copies cost nothing more.
 
 The tables here hold no recordings, so the query renders each vector of `embeddings` as a melody
@@ -51,6 +52,11 @@ SAME_MELODY = 0.1
 #: Queries sent to the workers at once, and recordings and queries that are compared at once.
 QUERY_BLOCK = 50_000
 PIECE = 1000
+#: Integers of a window, and the directions on which windows are projected; more directions cost more and leave fewer pairs.
+WINDOW = 4
+AXES = 16
+#: If more than one pair in so many is left at an offset, all are compared there.
+DENSE = 16
 
 
 def _filters() -> list[tuple[int, int, int, int]]:
@@ -155,19 +161,62 @@ def _words(ints: np.ndarray) -> np.ndarray:
     return even[::2] | (even[1::2] << np.uint64(32))
 
 
-def nearest(q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest share of differing bits and its (smallest) offset, for each column of r and of q."""
+def _signs(ints: np.ndarray) -> np.ndarray:
+    """The bits of columns of integers as -1 and 1 (rows, places, 32)."""
+    length, rows = ints.shape
+    bits = np.unpackbits(np.ascontiguousarray(ints.T).view(np.uint8).reshape(rows, -1), axis=1)
+    return bits.reshape(rows, length, 32).astype(np.float32) * 2 - 1
+
+
+def axes(pieces: list[np.ndarray]) -> np.ndarray:
+    """The directions (WINDOW, 32, AXES) in which windows of integers spread most; of length one and at right angles."""
+    windows = [np.concatenate([s[:, i : len(x) - WINDOW + 1 + i] for i in range(WINDOW)], 2).reshape(-1, WINDOW * 32) for x in pieces if len(x) >= WINDOW for s in [_signs(x)]]
+    spread = np.cov(np.concatenate(windows), rowvar=False, bias=True) if windows else np.zeros((WINDOW * 32, WINDOW * 32))
+    return np.linalg.eigh(spread)[1][:, -AXES:].reshape(WINDOW, 32, AXES).astype(np.float32)
+
+
+def _shadows(ints: np.ndarray, along: np.ndarray) -> np.ndarray:
+    """The projection of each row's window at each place (rows, places, AXES)."""
+    signs, n = _signs(ints), max(0, len(ints) - WINDOW + 1)
+    return sum(signs[:, i : i + n] @ along[i] for i in range(WINDOW))
+
+
+def _side(shadows: np.ndarray, skip: int, n: int, first: bool) -> np.ndarray:
+    """The projections of the windows side by side in n integers, with two columns by which a product is minus half a squared distance."""
+    x = shadows[:, skip : skip + n - WINDOW + 1 : WINDOW].reshape(len(shadows), -1) if n >= WINDOW else np.zeros((len(shadows), 0), np.float32)
+    half, one = -0.5 * (x * x).sum(1, keepdims=True), np.ones((len(x), 1), np.float32)
+    return np.concatenate([x, half, one] if first else [x, one, half], 1)
+
+
+def nearest(q: np.ndarray, r: np.ndarray, max_error: float, along: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest share of differing bits and its (smallest) offset, for each column of r and of q; 2 where it is above max_error.
+
+    The squared distance of two rows of -1 and 1 is four times their differing bits, and no projection
+    on directions at right angles makes it larger. So only what is near enough in projection, with
+    a bit's room for rounding, is compared bit by bit.
+    """
     nq, nr = len(q), len(r)
     error, offset = np.full((r.shape[1], q.shape[1]), 2.0), np.zeros((r.shape[1], q.shape[1]), np.int32)
+    flat_error, flat_offset = error.reshape(-1), offset.reshape(-1)
+    shadow_q, shadow_r, rows_q, rows_r = _shadows(q, along), _shadows(r, along), np.ascontiguousarray(q.T), np.ascontiguousarray(r.T)
     for off in range(-nq + 1, nr):
         skip_q, skip_r = max(0, -off), max(0, off)
         n = min(nq - skip_q, nr - skip_r)
         if n * 2 < nq:
             continue
+        product = _side(shadow_r, skip_r, n, True) @ _side(shadow_q, skip_q, n, False).T
+        near = np.flatnonzero(product.reshape(-1) >= -2 * (max_error * 32 * n + 1))
+        if len(near) * DENSE <= error.size:
+            k, i = np.divmod(near, q.shape[1])
+            now = np.bitwise_count(rows_r[k, skip_r : skip_r + n] ^ rows_q[i, skip_q : skip_q + n]).sum(1, dtype=np.uint32) / (32 * n)
+            better = (now <= max_error) & (now < flat_error[near])
+            flat_error[near[better]] = now[better]
+            flat_offset[near[better]] = off
+            continue
         a, b = _words(q[skip_q : skip_q + n]), _words(r[skip_r : skip_r + n])
         for k in range(r.shape[1]):
             now = np.bitwise_count(a ^ b[:, k : k + 1]).sum(0, dtype=np.uint32) / (32 * n)
-            better = now < error[k]
+            better = (now <= max_error) & (now < error[k])
             error[k][better] = now[better]
             offset[k][better] = off
     return error, offset
@@ -181,10 +230,11 @@ def _scan(shared, max_error: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = list(_by_length(*shared.value))
+        along = axes([q for _, q in asked[:1]])
         for batch in batches:
             for ids, r in _by_length(batch.column("id").to_pylist(), batch.column("ints").to_pylist()):
                 for queries, q in asked:
-                    error, offset = nearest(q, r)
+                    error, offset = nearest(q, r, max_error, along)
                     hit = (error <= max_error).T
                     ends = np.append(0, np.cumsum(hit.sum(1))).astype(np.int32)
                     _, at = np.nonzero(hit)

@@ -376,3 +376,30 @@ def test_audio_edges(spark):
     assert by[0]["n_ints"] == by[50]["n_ints"] == 0 and by[50]["class_id"] == 0 and by[0]["match"] is None
     assert by[100]["class_id"] == 1 and by[100]["match"] == 1
     assert audio.melodies(df.limit(0)).count() == 0
+
+
+def test_only_near_projections_are_compared_and_none_is_lost(monkeypatch):
+    """Bits are counted for few pairs of unrelated melodies, and each pair within the bound is found at its offset, at any bound and length."""
+    r = np.random.default_rng(5)
+    vectors = r.normal(0, 0.125, (120, 64))
+    held = np.array([audio.fingerprint(audio.render(v)) for v in vectors]).T
+    asked = np.array([audio.fingerprint(audio.played_again(audio.render(v))) for v in vectors[:40]]).T
+    turned = asked ^ np.packbits(r.random((*asked.shape, 32)) < r.random((1, asked.shape[1], 1)) * 0.2, axis=2).view(np.uint32)[:, :, 0]
+    compared = []
+    monkeypatch.setattr(audio, "np", type("counted", (), {"__getattr__": lambda _, k: (lambda x: (compared.append(x.size), np.bitwise_count(x))[1]) if k == "bitwise_count" else getattr(np, k)})())
+    for q, p in ((asked, held), (turned, held), (asked[:5], held), (asked[:3], held), (asked, held[:30])):
+        along = audio.axes([q])
+        for bound in (0.0, audio.SAME_MELODY, 0.2, audio.MAX_ERROR, 1.0):
+            compared.clear()
+            error, offset = audio.nearest(q, p, bound, along)
+            if q is asked and p is held and bound == audio.SAME_MELODY:
+                assert (np.diag(error)[:40] <= bound).all() and sum(compared) < 0.02 * 30 * 50 * error.size
+            want, at = np.full(error.shape, 2.0), np.zeros(error.shape, int)
+            for off in range(-len(q), len(p)):
+                a, b = q[max(0, -off) :], p[max(0, off) :]
+                n = min(len(a), len(b))
+                if n > 0 and 2 * n >= len(q):
+                    now = np.bitwise_count(a[:n, None, :] ^ b[:n, :, None]).sum(0, dtype=int) / (32 * n)
+                    better = (now <= bound) & (now < want)
+                    want[better], at[better] = now[better], off
+            assert (error == want).all() and (offset == at).all()
